@@ -5,14 +5,41 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import mixing, sharding
+from . import decontaminate, langid, media, mixing, sharding, toxicity
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _documents(spark, sf_dir)
+    held = toxicity.held_out("doc_id", 5, 0)
+    found = langid.identify(docs, ~held)
+    return found.select("doc_id", toxicity.held_out("doc_id", 5, 0).alias("held_out"), F.col("_lang_pred").alias("lang_pred"), F.col("_score").alias("score"), F.col("_rejected").alias("rejected"))
+
+
+def op3_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return media.digest(media.media(_documents(spark, sf_dir)))
+
+
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = _documents(spark, sf_dir), _table(spark, sf_dir, "labels")
+    held = toxicity.held_out("doc_id", 4, 2)
+    found = toxicity.score(docs, labels, ~held)
+    return found.select("doc_id", held.alias("held_out"), "score", "predicted")
+
+
+def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.digest(decontaminate.contamination(_documents(spark, sf_dir), _table(spark, sf_dir, "benchmark")))
+
+
 def op5_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.plan(_documents(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken", "copies")
 
@@ -22,7 +49,7 @@ def op7_shard_interleave(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op5_mix_sources, op7_shard_interleave)}
+    return {f.__name__: f for f in (op2_language_id, op3_media_columns, op5_mix_sources, op6_toxicity, op7_shard_interleave, op10_decontaminate)}
 
 
 def oracle_sql() -> dict[str, str]:
