@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, langid, media, mixing, sharding, toxicity
+from . import decontaminate, htmltext, langid, media, mixing, sharding, toxicity
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -36,6 +36,10 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held.alias("held_out"), "score", "predicted")
 
 
+def op8_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return htmltext.main_text(_table(spark, sf_dir, "pages"))
+
+
 def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.digest(decontaminate.contamination(_documents(spark, sf_dir), _table(spark, sf_dir, "benchmark")))
 
@@ -49,7 +53,7 @@ def op7_shard_interleave(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_language_id, op3_media_columns, op5_mix_sources, op6_toxicity, op7_shard_interleave, op10_decontaminate)}
+    return {f.__name__: f for f in (op2_language_id, op3_media_columns, op5_mix_sources, op6_toxicity, op7_shard_interleave, op8_html_text, op10_decontaminate)}
 
 
 def oracle_sql() -> dict[str, str]:
