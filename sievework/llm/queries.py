@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, htmltext, langid, media, mixing, sharding, toxicity
+from . import decontaminate, htmltext, langid, media, mixing, sharding, suffixarray, suffixtree, toxicity
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -18,6 +18,10 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixarray.dedup(_documents(spark, sf_dir)).drop("kept")
+
+
 def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _documents(spark, sf_dir)
     held = toxicity.held_out("doc_id", 5, 0)
@@ -29,6 +33,10 @@ def op3_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return media.digest(media.media(_documents(spark, sf_dir)))
 
 
+def op4_suffix_tree_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixtree.dedup(_documents(spark, sf_dir)).drop("kept")
+
+
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = _documents(spark, sf_dir), _table(spark, sf_dir, "labels")
     held = toxicity.held_out("doc_id", 4, 2)
@@ -53,7 +61,7 @@ def op7_shard_interleave(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_language_id, op3_media_columns, op5_mix_sources, op6_toxicity, op7_shard_interleave, op8_html_text, op10_decontaminate)}
+    return {f.__name__: f for f in (op1_suffix_array_dedup, op2_language_id, op3_media_columns, op4_suffix_tree_dedup, op5_mix_sources, op6_toxicity, op7_shard_interleave, op8_html_text, op10_decontaminate)}
 
 
 def oracle_sql() -> dict[str, str]:
