@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, htmltext, langid, media, mixing, sharding, suffixarray, suffixtree, toxicity
+from . import decontaminate, htmltext, langid, media, mixing, neardup, sharding, suffixarray, suffixtree, toxicity
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -48,6 +48,10 @@ def op8_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return htmltext.main_text(_table(spark, sf_dir, "pages"))
 
 
+def op9_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.groups(_documents(spark, sf_dir)).select("doc_id", "n_words", "class_id", "group_id", "n_links", "group_size")
+
+
 def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.digest(decontaminate.contamination(_documents(spark, sf_dir), _table(spark, sf_dir, "benchmark")))
 
@@ -61,7 +65,7 @@ def op7_shard_interleave(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_suffix_array_dedup, op2_language_id, op3_media_columns, op4_suffix_tree_dedup, op5_mix_sources, op6_toxicity, op7_shard_interleave, op8_html_text, op10_decontaminate)}
+    return {f.__name__: f for f in (op1_suffix_array_dedup, op2_language_id, op3_media_columns, op4_suffix_tree_dedup, op5_mix_sources, op6_toxicity, op7_shard_interleave, op8_html_text, op9_order_minhash, op10_decontaminate)}
 
 
 def oracle_sql() -> dict[str, str]:
