@@ -14,6 +14,7 @@ and not the stages before. All stages but the last return the columns of documen
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from sievework.llm import decontaminate, langid, mixing, neardup, sharding
 from sievework.llm.tables import stored
@@ -30,7 +31,11 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return decontaminate.clean(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    left = decontaminate.clean(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    if "n_chars" not in docs.columns:
+        return left
+    # A shortened text has fewer characters than it came with.
+    return left.withColumn("n_chars", F.coalesce(F.char_length("text").cast(docs.schema["n_chars"].dataType), "n_chars"))
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
