@@ -125,6 +125,8 @@ def parse(page: str) -> Node:
             if tag in VOID:
                 continue
             cut, bonus = _marks(tag, attributes)
+            # A page's header goes; an article's own holds its headline.
+            cut = cut or tag == "header" and not _within(here, ("article", "main"))
             node = Node(tag, here, cut, bonus)
             here.kids.append(node)
             if tag in RAW:
@@ -147,6 +149,13 @@ def parse(page: str) -> Node:
     return root
 
 
+def _within(node: Node, tags: tuple[str, ...]) -> bool:
+    up: Node | None = node
+    while up is not None and up.tag not in tags:
+        up = up.up
+    return up is not None
+
+
 def _end_open_p(here: Node) -> Node:
     up = here
     while up.up is not None and (up.tag not in BLOCKS or up.tag == "p"):
