@@ -56,8 +56,11 @@ CUT_WORDS = frozenset(
     "nav navbar navigation menu menus breadcrumb breadcrumbs sidebar aside rail widget widgets footer foot header masthead topbar "
     "cookie cookies consent gdpr notice notices popup modal overlay newsletter subscribe subscription signup login share sharing social "
     "comment comments reply replies disqus respond discussion related recommended recommendations trending outbrain taboola pagination pager "
-    "skip copyright legal disclaimer toolbar tags".split()
+    "skip copyright legal disclaimer toolbar tags alert announcement toc search lightbox feedback survey poll".split()
 )
+#: Of these, words that the article's own parts or its container also carry ("entry-header", "content with-sidebar").
+_EITHER = frozenset("header head sidebar tags legal rail aside toc notice".split())
+_ARTICLE = frozenset("article content entry main post story".split())
 _GOOD = frozenset("article body content entry main page post story text blog prose".split())
 _NAME = re.compile(r"[A-Za-z][^\s/>]*")
 _TOKEN = re.compile(r"<!--(?:>|->|.*?(?:--!?>|\Z))|<[!?][^>]*(?:>|\Z)|</([A-Za-z][^\s/>]*)[^>]*(?:>|\Z)|<([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)", re.S)
@@ -79,19 +82,21 @@ def _marks(tag: str, attributes: str) -> tuple[bool, float]:
     cut, bonus = tag in CUT, {"article": 30.0, "main": 20.0}.get(tag, 0.0)
     if not attributes or attributes.isspace():
         return cut, bonus
+    parts: set[str] = set()
     for name, a, b, c in _ATTRIBUTE.findall(attributes):
         name, value = name.lower(), a or b or c
         if name in ("class", "id"):
-            parts = {p.lower() for p in _PARTS.findall(value)}
-            if parts & CUT_WORDS and not (tag in ("body", "html", "article", "main") or parts & _GOOD and not parts & {"ad", "ads", "comment", "comments", "sidebar", "nav", "footer", "related"}):
-                cut = True
-            elif parts & _GOOD:
-                bonus += 15
+            parts.update(p.lower() for p in _PARTS.findall(value))
         elif name == "role":
             cut = cut or value.lower() in CUT_ROLES
             bonus += 20 * (value.lower() in ("main", "article"))
         elif name == "hidden" or name == "aria-hidden" and value.lower() == "true" or name == "style" and "display:none" in value.replace(" ", "").lower():
             cut = True
+    beside = parts & CUT_WORDS
+    if beside and tag not in ("body", "html", "article", "main") and (beside - _EITHER or not parts & _ARTICLE):
+        cut = True
+    elif parts & _GOOD:
+        bonus += 15
     return cut, bonus
 
 

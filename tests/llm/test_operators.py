@@ -111,6 +111,15 @@ def test_html_siblings_without_container():
     assert htmltext.extract(page).split("\n") == [" ".join(PROSE.split())] * 2
 
 
+@pytest.mark.parametrize(
+    "mark, kept",
+    [("class='content-ad'", False), ("class='page-header'", False), ("class='entry-header'", True), ("id='main' class='with-sidebar'", True), ("class='postComments'", False), ("class='alert alert-info'", False), ("role=complementary", False), ("hidden", False), ("style='display: none'", False), ("class='roadmap'", True)],
+)
+def test_html_marks(mark, kept):
+    page = f"<body><div class=wrap><div id=content><p>{PROSE}</p><div {mark}><p>Marked: {PROSE}</p></div><p>{PROSE}</p></div></div></body>"
+    assert ("Marked" in htmltext.extract(page)) == kept
+
+
 @pytest.mark.parametrize("page", ["", "plain text", "<", "<p", "</p>", "<!-- open", "<script>never closed", "<p><b><i>" * 50, "<div>" * 300 + "x", "&#xFFFFFFFF; &bad; &", "<a href='>'>x</a>", "\x00<p>\x01</p>"])
 def test_html_never_fails(page):
     assert isinstance(htmltext.extract(page), str)
