@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .arrays import pieces, utf8
-from .ranks import seeded
+from .ranks import seeded, seeded_sample
 from .tables import small_batches
 
 ROWS_LOG2, DIMENSIONS = 16, 16
@@ -153,10 +153,10 @@ def train(texts: list[bytes], labels: list[str], epochs: int = 6, rate: float =
 
 
 def sample(docs: DataFrame, learnable: Column, text_col: str, label_col: str, train_documents: int, train_bytes: int) -> tuple[list[bytes], list[str]]:
-    rows = docs.where(learnable & F.col(label_col).isNotNull() & F.col(text_col).isNotNull())
-    # Short texts teach little and null ones nothing; the seeded order makes the same sample at every run.
-    rows = rows.select(F.substring(F.col(text_col), 1, train_bytes).alias("t"), F.col(label_col).cast("string").alias("l"), seeded(2, "doc_id" if "doc_id" in docs.columns else text_col).alias("u"))
-    got = rows.orderBy("u", "t", "l").limit(train_documents).collect()
+    key = "doc_id" if "doc_id" in docs.columns else text_col
+    rows = docs.where(learnable & F.col(label_col).isNotNull()).select(F.col(label_col).cast("string").alias("l"), seeded(2, key).alias("u"), F.substring(F.col(text_col), 1, train_bytes).alias("t"))
+    # The seeded order makes the same sample at every run.
+    got = [r for r in seeded_sample(rows, "u", train_documents, "t", "l").collect() if r["t"]]
     return [r["t"].encode() for r in got], [r["l"] for r in got]
 
 

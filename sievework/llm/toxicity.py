@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .arrays import BYTE_VALUES, mix, pieces, span_hashes, utf8, word_spans
-from .ranks import seeded
+from .ranks import seeded, seeded_sample
 from .tables import small_batches
 
 SLOTS_LOG2, FACTORS = 18, 8
@@ -140,7 +140,8 @@ def score(docs: DataFrame, labels: DataFrame, learnable: Column | None = None, i
     spark = docs.sparkSession
     small_batches(spark)
     known = labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull() & (F.lit(True) if learnable is None else learnable))
-    chosen = known.select(F.col(id_col).alias("_id"), F.col(label_col).cast("int").alias("l"), seeded(6, id_col).alias("u")).orderBy("u", "_id", "l").limit(train_documents)
+    known = known.select(F.col(id_col).alias("_id"), F.col(label_col).cast("int").alias("l"), seeded(6, id_col).alias("u"))
+    chosen = seeded_sample(known, "u", train_documents, "_id", "l")
     # The sample has a fixed bound, so it is broadcast; texts become term lists where they are read.
     got = docs.select(id_col, text_col).join(F.broadcast(chosen), F.col(id_col) == F.col("_id")).select(F.col(text_col).alias("t"), "l", "u")
 
