@@ -5,15 +5,8 @@ from __future__ import annotations
 import numpy as np
 
 
-def unlike(a: np.ndarray, b: np.ndarray) -> int:
-    """A lower bound of the edit distance: words of the longer that the other has no match for, counted with repeats."""
-    values, counts = np.unique(a, return_counts=True)
-    other, also = np.unique(b, return_counts=True)
-    _, i, j = np.intersect1d(values, other, assume_unique=True, return_indices=True)
-    return max(len(a), len(b)) - int(np.minimum(counts[i], also[j]).sum())
-
-
 def _trimmed(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Without the common beginning and end, which an optimal alignment matches."""
     n = min(len(a), len(b))
     differ = np.flatnonzero(a[:n] != b[:n])
     lead = int(differ[0]) if len(differ) else n
@@ -27,57 +20,49 @@ def _trimmed(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 def distance(a: np.ndarray, b: np.ndarray, most: int) -> int | None:
     """Edits (insert, delete, replace a word) between a and b, or None if more than ``most``.
 
-    Furthest-reaching alignment inside a band: with e edits only the 2e + 1 diagonals next to the
-    main one can be reached, and of each only the furthest cell matters. Equal stretches on a
-    diagonal are crossed by doubling steps over comparisons of whole blocks.
+    Bit-parallel alignment inside a diagonal band: a column holds the 2 * most + 1 rows next to
+    the diagonal as the bits of one integer (whether the cell below is one more, or one less),
+    and the band moves down one row with each column. Cells outside cannot be on an alignment
+    of ``most`` edits. The distance is followed along the diagonal that ends in the last cell,
+    where it never falls, so a pair that is too far apart ends early.
     """
     a, b = _trimmed(a, b)
+    if len(a) < len(b):
+        a, b = b, a
     n, m = len(a), len(b)
-    if not n or not m:
-        return max(n, m) if max(n, m) <= most else None
-    if abs(n - m) > most or unlike(a, b) > most:
+    if n - m > most:
         return None
-    goal = n - m
-    # far[k + off]: the furthest position in a on diagonal k = position in a - position in b.
-    off = most + 1
-    far = np.full(2 * off + 1, -2, np.int64)
-    far[off] = _slide(a, b, np.array([0]), np.array([0]))[0]
-    for e in range(most + 1):
-        if far[goal + off] >= n and abs(goal) <= e:
-            return e
-        if e == most:
-            return None
-        lo, hi = -min(e + 1, m, most), min(e + 1, n, most)
-        k = np.arange(lo, hi + 1)
-        at = k + off
-        # From the same diagonal a replacement, from below a deletion from a, from above an insertion.
-        best = np.maximum(np.maximum(far[at] + 1, far[at - 1] + 1), far[at + 1])
-        best = np.minimum(best, np.minimum(n, m + k))
-        ok = (best >= 0) & (best - k >= 0)
-        best = np.where(ok, best, -2)
-        best[ok] = _slide(a, b, best[ok], k[ok])
-        far[at] = best
-    return None
-
-
-def _slide(a: np.ndarray, b: np.ndarray, at: np.ndarray, k: np.ndarray) -> np.ndarray:
-    """Follow each diagonal from position ``at`` of a over equal words."""
-    n, m = len(a), len(b)
-    at = at.copy()
-    going = np.flatnonzero((at < n) & (at - k < m))
-    step = 1
-    while len(going):
-        i = at[going]
-        j = i - k[going]
-        reach = np.arange(step)
-        ii, jj = i[:, None] + reach, j[:, None] + reach
-        inside = (ii < n) & (jj < m)
-        same = inside & (a[np.minimum(ii, n - 1)] == b[np.minimum(jj, m - 1)])
-        run = np.where(same.all(axis=1), step, np.argmin(same, axis=1))
-        at[going] += run
-        going = going[run == step]
-        step = min(step * 4, 4096)
-    return at
+    if not m:
+        return n
+    most = min(most, n)
+    width = 2 * most + 1
+    mask = (1 << width) - 1
+    rows: dict[int, int] = dict.fromkeys(b.tolist(), 0)
+    bit = 1
+    for w in a.tolist():
+        if w in rows:
+            rows[w] |= bit
+        bit <<= 1
+    # Bit r of column j stands for row j + r - most; vertical differences are kept for the next column's rows.
+    plus, minus = mask & ~((1 << most) - 1), 0
+    end = n - m + most
+    edits = n - m
+    shift = -most
+    for w in b.tolist():
+        found = rows[w]
+        found = (found >> shift if shift >= 0 else found << -shift) & mask
+        diagonal = ((((found & plus) + plus) ^ plus) | found | minus) & mask
+        right_plus = minus | (mask & ~(diagonal | plus))
+        right_minus = diagonal & plus
+        below = diagonal >> 1
+        plus = right_minus | (mask & ~(below | right_plus))
+        minus = below & right_plus
+        if not diagonal >> end & 1:
+            edits += 1
+            if edits > most:
+                return None
+        shift += 1
+    return edits
 
 
 def similar(a: np.ndarray, b: np.ndarray, least: float) -> float | None:
@@ -85,6 +70,5 @@ def similar(a: np.ndarray, b: np.ndarray, least: float) -> float | None:
     n = max(len(a), len(b))
     if not n:
         return 1.0
-    most = int((1 - least) * n + 1e-9)
-    d = distance(a, b, most)
+    d = distance(a, b, int((1 - least) * n + 1e-9))
     return None if d is None else 1 - d / n

@@ -6,12 +6,20 @@ functions picks the ``PICKS`` least labelled shingles and keeps them in text ord
 share that key with a probability that follows their edit similarity, order included.
 
 Equal word sequences first become one class, so copies meet as one row. Classes that share a key
-are candidates. Inside a bucket every pair of different texts is judged by exact lower bounds of
-the edit distance (lengths, and counts of words in 64 bins): a member close to an earlier leader
-by that bound is linked to it and stands behind it; any other pair that the bound leaves
-possible is a candidate pair. Candidates are verified by banded alignment: two texts are alike
-if at most 1 - ``SIMILARITY`` of the longer one's words must be edited. Connected texts form a
-group, labelled by its least doc_id.
+are candidates. They are verified by banded alignment: two texts are alike if at most
+1 - ``SIMILARITY`` of the longer one's words must be edited. Connected texts form a group,
+labelled by its least doc_id.
+
+A bucket's pairs are not all aligned, yet no link between groups is lost. A lower bound of the
+edit distance (lengths, and counts of words in 64 bins) rules pairs out exactly. First round:
+each member is paired with the nearest leader that the bound leaves possible, or else becomes a
+leader; that is one pair a member. Second round: in buckets whose paired members are not yet one
+group, every pair across groups that the bound leaves possible is aligned. A pair inside a
+group needs no alignment: it cannot change the groups. To spare alignments, the second round
+counts words in 512 bins and first tries, for each member and each other group of a bucket, the
+nearest member only. Where that one is not alike, the third round aligns the member with all
+others of that group that the bound leaves, nearest first, until one is alike; it does so inside
+the bucket, in the first bucket that the two share, and passes on links and not pairs.
 
 Defined results: null, empty and blank texts have no words and are one group; texts under five words
 are linked only when equal, which is all that 0.8 allows them; a null doc_id is no label if the
@@ -34,12 +42,10 @@ from .tables import drop, release, small_batches, stored
 
 WORDS, SIMILARITY = 5, 0.8
 SKETCHES, PICKS = 20, 2
-BINS = 64
+BINS, FINE_BINS = 64, 512
 #: Members of a bucket that one task compares.
 BUCKET = 20_000
 _NO_ID = -(2**63)
-#: Share of the words by which a member may differ from its leader (by the lower bound) and stand behind it.
-BEHIND = 0.1
 _FOLDED = BYTE_VALUES.copy()
 _FOLDED[0x41:0x5B] = _FOLDED[0x61:0x7B]
 _SEEDS = mix(np.arange(1, SKETCHES + 1, dtype=np.uint64) * U64(0x9E3779B97F4A7C15))
@@ -102,11 +108,24 @@ def sketches(shingles: np.ndarray, offsets: np.ndarray, picks: int = PICKS) -> n
     return out
 
 
-def _profile(words: np.ndarray, per: np.ndarray) -> np.ndarray:
-    """Counts of words in BINS bins, at most 255 each, for each document."""
+def _profile(words: np.ndarray, per: np.ndarray, bins: int = BINS) -> np.ndarray:
+    """Counts of words in bins, at most 255 each, for each document."""
     docs = len(per) - 1
-    cell = np.repeat(np.arange(docs), np.diff(per)) * BINS + (words >> U64(58)).astype(np.int64)
-    return np.minimum(np.bincount(cell, minlength=docs * BINS), 255).astype(np.uint8).reshape(docs, BINS)
+    cell = np.repeat(np.arange(docs), np.diff(per)) * bins + (words >> U64(64 - bins.bit_length() + 1)).astype(np.int64)
+    return np.minimum(np.bincount(cell, minlength=docs * bins), 255).astype(np.uint8).reshape(docs, bins)
+
+
+def _binary(rows: np.ndarray) -> pa.Array:
+    """A row of bytes for each document as a binary column."""
+    return pa.Array.from_buffers(pa.binary(), len(rows), [None, pa.py_buffer((np.arange(len(rows) + 1) * rows.shape[1]).astype(np.int32)), pa.py_buffer(np.ascontiguousarray(rows))])
+
+
+def _bodies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """g1, text -> g1, fine profile and the words' hashes."""
+    for batch in batches:
+        words, per = words_of(*utf8(batch.column(1)))
+        body = pa.Array.from_buffers(pa.binary(), batch.num_rows, [None, pa.py_buffer((per * 8).astype(np.int32)), pa.py_buffer(np.ascontiguousarray(words))])
+        yield pa.RecordBatch.from_arrays([batch.column(0), _binary(_profile(words, per, FINE_BINS)), body], ["g1", "bins", "words"])
 
 
 SIGNED = "id long, x long, g1 long, g2 long, n long, keys array<long>, bins binary"
@@ -128,95 +147,149 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         n, keys = np.concatenate(n), np.concatenate(keys).view(np.int64)
         has = n >= WORDS
         lists = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(has * SKETCHES))), pa.int32()), pa.array(keys[has].ravel()))
-        flat = np.concatenate(bins)
-        column = pa.Array.from_buffers(pa.binary(), len(n), [None, pa.py_buffer((np.arange(len(n) + 1) * BINS).astype(np.int32)), pa.py_buffer(np.ascontiguousarray(flat))])
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(np.concatenate(g1).view(np.int64)), pa.array(np.concatenate(g2).view(np.int64)), pa.array(n, pa.int64()), lists, column], ["id", "x", "g1", "g2", "n", "keys", "bins"])
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(np.concatenate(g1).view(np.int64)), pa.array(np.concatenate(g2).view(np.int64)), pa.array(n, pa.int64()), lists, _binary(np.concatenate(bins))], ["id", "x", "g1", "g2", "n", "keys", "bins"])
 
 
-def bucket_pairs(n: np.ndarray, bins: np.ndarray, least: float = SIMILARITY, behind: float = BEHIND) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs of one bucket's members (sorted by n) to verify, by exact bounds on the edit distance.
+def _bounds(wide: np.ndarray, n: np.ndarray, i: int, others) -> np.ndarray:
+    """At least so many edits lie between i and each of the others: an edit moves the bins and the length by two together."""
+    return (np.abs(wide[others] - wide[i]).sum(axis=1) + np.abs(n[others] - n[i])) / 2
 
-    Half the sum of the bins' L1 distance and the difference in length never exceeds the edits. Leaders are compared with everyone; the
-    followers of two leaders with each other only where the triangle inequality leaves room.
-    """
-    left: list[np.ndarray] = []
-    right: list[np.ndarray] = []
-    size = len(n)
-    wide = bins.astype(np.int16)
-    leaders: list[int] = []
-    follows = np.full(size, -1)
-    radius: dict[int, float] = {}
-    lead = np.zeros((0, BINS), np.int16)
-    lead_n = np.zeros(0, np.int64)
+
+def leader_pairs(n: np.ndarray, bins: np.ndarray, least: float = SIMILARITY) -> tuple[np.ndarray, np.ndarray]:
+    """One bucket's members (sorted by n): each with the nearest leader it may be like; others become leaders."""
+    wide, size = bins.astype(np.int16), len(n)
+    leaders, left, right = np.zeros(size, np.int64), [], []
     held = 0
     for i in range(size):
-        allowed = (1 - least) * n[i]
-        # Sorted by length, so this one is the longer.
-        first = int(np.searchsorted(lead_n[:held], n[i] - allowed - 1e-9, "left"))
-        if first < held:
-            bound = (np.abs(lead[first:held] - wide[i]).sum(axis=1) + n[i] - lead_n[first:held]) / 2
-            near = np.flatnonzero(bound <= allowed + 1e-9)
-            if len(near):
-                left.append(np.array(leaders)[first + near])
-                right.append(np.full(len(near), i))
-                best = near[np.argmin(bound[near])]
-                if bound[best] <= behind * n[i]:
-                    follows[i] = leaders[first + best]
-                    radius[follows[i]] = max(radius.get(follows[i], 0.0), float(bound[best]))
-                    continue
-        if held == len(lead):
-            more = max(16, held)
-            lead = np.concatenate([lead, np.zeros((more, BINS), np.int16)])
-            lead_n = np.concatenate([lead_n, np.full(more, 1 << 60)])
-        lead[held], lead_n[held] = wide[i], n[i]
-        leaders.append(i)
-        held += 1
-    groups = {k: np.flatnonzero(follows == k) for k in radius}
-    heads = sorted(groups)
-    for x, a in enumerate(heads):
-        for b in heads[x + 1 :]:
-            top = (1 - least) * max(n[groups[a]].max(), n[groups[b]].max())
-            if (int(np.abs(wide[a] - wide[b]).sum()) + abs(int(n[a]) - int(n[b]))) / 2 > top + radius[a] + radius[b]:
+        allowed = (1 - least) * n[i] + 1e-9
+        # Sorted by length: this one is the longer, and leaders too short for it stay too short.
+        first = int(np.searchsorted(n[leaders[:held]], n[i] - allowed, "left"))
+        near = leaders[first:held]
+        if len(near):
+            bound = _bounds(wide, n, i, near)
+            best = int(bound.argmin())
+            if bound[best] <= allowed:
+                left.append(near[best])
+                right.append(i)
                 continue
-            for i in groups[a]:
-                js = groups[b]
-                bound = (np.abs(wide[js] - wide[i]).sum(axis=1) + np.abs(n[js] - n[i])) / 2
-                js = js[bound <= (1 - least) * np.maximum(n[js], n[i]) + 1e-9]
-                left.append(np.full(len(js), i))
-                right.append(js)
-    if not left:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+        leaders[held] = i
+        held += 1
+    return np.array(left, np.int64), np.array(right, np.int64)
+
+
+def _other_groups(n: np.ndarray, wide: np.ndarray, group: np.ndarray, least: float) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+    """Of one bucket, each member outside the largest group, with the members of larger groups that may be like it, their groups and bounds."""
+    _, codes, sizes = np.unique(group, return_inverse=True, return_counts=True)
+    rank = sizes[codes] * len(n) + codes
+    for i in np.flatnonzero(codes != sizes.argmax()):
+        # Each pair once, from the member of the smaller group.
+        js = np.flatnonzero((rank > rank[i]) & (n >= least * n[i] - 1) & (n * least <= n[i] + 1))
+        bound = _bounds(wide, n, i, js)
+        near = bound <= (1 - least) * np.maximum(n[js], n[i]) + 1e-9
+        if near.any():
+            js, bound = js[near], bound[near]
+            by = np.lexsort((bound, codes[js]))
+            yield int(i), js[by], codes[js][by], bound[by]
+
+
+def nearest_pairs(n: np.ndarray, bins: np.ndarray, group: np.ndarray, least: float = SIMILARITY) -> tuple[np.ndarray, np.ndarray]:
+    """One bucket's members: each with the nearest in each other group that may be like it."""
+    left, right = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    for i, js, codes, _ in _other_groups(n, bins.astype(np.int16), group, least):
+        js = js[np.unique(codes, return_index=True)[1]]
+        left.append(np.full(len(js), i))
+        right.append(js)
     return np.concatenate(left), np.concatenate(right)
 
 
-def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by (key, block, n, id) -> candidate pairs of each bucket. Holds one block and one batch."""
+def remaining_links(n, bins, group, wanted, keys, key, words, least: float = SIMILARITY) -> list[tuple[int, int]]:
+    """One bucket's members: for each wanted one and each other group, a member that is alike, if there is one.
+
+    A pair is judged only in the bucket of the first key that the two share.
+    """
+    out = []
+    for i, js, codes, _ in _other_groups(n, bins.astype(np.int16), group, least):
+        shared = keys[js] == keys[i]
+        here = keys[i][shared.argmax(axis=1)] == key
+        done = set()
+        for j, code in zip(js[here].tolist(), codes[here].tolist()):
+            if code not in done and (wanted[i] or wanted[j]) and similar(words(i), words(j), least) is not None:
+                done.add(code)
+                out.append((i, j))
+    return out
+
+
+def _buckets(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[tuple]:
+    """Batches sorted by (key, block, ...) -> columns of each bucket with two members or more. Holds one block and one batch.
 
-    def solve(edge, n, ids, bins):
-        a, b = [], []
-        for lo, hi in zip(edge[:-1], edge[1:]):
+    Columns: key, block, n, g1, bins, then any: longs as arrays, others as Arrow arrays.
+    """
+    held = None
+    for batch in _with_end(batches):
+        if batch is not None:
+            held = batch if held is None else pa.Table.from_batches([held, batch]).combine_chunks().to_batches()[0]
+        if held is None or not held.num_rows:
+            continue
+        key, block = longs(held.column(0)), longs(held.column(1))
+        edge = np.concatenate(([0], np.flatnonzero((key[1:] != key[:-1]) | (block[1:] != block[:-1])) + 1, [len(key)]))
+        stop = len(edge) - (1 if batch is None else 2)
+        if stop < 1:
+            continue
+        bins, _ = utf8(held.column(4))
+        rows = (longs(held.column(2)), longs(held.column(3)), bins.reshape(-1, width), *[longs(c) if pa.types.is_int64(c.type) else c for c in held.columns[5:]])
+        for lo, hi in zip(edge[:stop], edge[1 : stop + 1]):
             if hi - lo > 1:
-                i, j = bucket_pairs(n[lo:hi], bins[lo:hi])
-                a.append(ids[lo:hi][i])
-                b.append(ids[lo:hi][j])
-        if a:
-            x, y = np.concatenate(a), np.concatenate(b)
-            pair = np.unique(np.stack([np.minimum(x, y), np.maximum(x, y)], axis=1), axis=0)
-            yield pa.RecordBatch.from_arrays([pa.array(pair[:, 0]), pa.array(pair[:, 1])], ["a", "b"])
-
-    held: list[tuple[np.ndarray, ...]] = []
-    for batch in batches:
-        bins, _ = utf8(batch.column(4))
-        held.append((*[longs(batch.column(i)) for i in range(4)], bins.reshape(-1, BINS)))
-        key, block = held[-1][:2]
-        if len(key) and (key[-1], block[-1]) != (held[0][0][0], held[0][1][0]):
-            key, block, n, ids, bins = (np.concatenate(x) for x in zip(*held))
-            edge = np.concatenate(([0], np.flatnonzero((key[1:] != key[:-1]) | (block[1:] != block[:-1])) + 1))
-            yield from solve(edge, n, ids, bins)
-            held = [tuple(x[edge[-1] :] for x in (key, block, n, ids, bins))]
-    if held:
-        key, block, n, ids, bins = (np.concatenate(x) for x in zip(*held))
-        yield from solve(np.concatenate(([0], np.flatnonzero((key[1:] != key[:-1]) | (block[1:] != block[:-1])) + 1, [len(key)])), n, ids, bins)
+                yield key[lo], *[x[lo:hi] if isinstance(x, np.ndarray) else x.slice(lo, hi - lo) for x in rows]
+        held = held.slice(edge[stop])
+
+
+def _with_end(batches):
+    yield from batches
+    yield None
+
+
+def _pair_batch(pairs: list[tuple[np.ndarray, np.ndarray]]) -> list[pa.RecordBatch]:
+    if not pairs:
+        return []
+    x, y = (np.concatenate(v) for v in zip(*pairs))
+    pair = np.unique(np.stack([np.minimum(x, y), np.maximum(x, y)], axis=1), axis=0)
+    return [pa.RecordBatch.from_arrays([pa.array(pair[:, 0], pa.int64()), pa.array(pair[:, 1], pa.int64())], ["a", "b"])]
+
+
+def _pairs(width: int, judge):
+    """Pairs of each bucket by ``judge`` (columns of the bucket -> two arrays of members), as ids."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        out, size = [], 0
+        for bucket in _buckets(batches, width):
+            i, j = judge(*bucket)
+            out.append((bucket[2][i], bucket[2][j]))
+            size += len(i)
+            if size > 100_000:
+                yield from _pair_batch(out)
+                out, size = [], 0
+        yield from _pair_batch(out)
+
+    return run
+
+
+def _first_round(key, n, ids, bins):
+    return leader_pairs(n, bins)
+
+
+def _second_round(key, n, ids, bins, group):
+    return nearest_pairs(n, bins, group)
+
+
+def _third_round(least: float):
+    def judge(key, n, ids, bins, group, wanted, keys, words):
+        data, at = utf8(words)
+        hashes, at = np.frombuffer(data.tobytes(), np.uint64), at // 8
+        held = np.asarray(keys.flatten()).reshape(len(n), -1)
+        found = remaining_links(n, bins, group, wanted, held, key, lambda i: hashes[at[i] : at[i + 1]], least)
+        return np.array([i for i, _ in found], np.int64), np.array([j for _, j in found], np.int64)
+
+    return judge
 
 
 def _verify(least: float):
@@ -259,10 +332,9 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: float = SIMILARITY) -> DataFrame:
-    """doc_id, text_hash, n_words, class_id, group_id, n_links and group_size of every row.
+    """doc_id, text_hash, n_words, class_id, group_id and group_size of every row.
 
-    class_id is the least id of equal word sequences, group_id the least id of the group, n_links
-    the verified links of the row's class to other classes.
+    class_id is the least id of equal word sequences, group_id the least id of the group.
     """
     spark = docs.sparkSession
     small_batches(spark)
@@ -272,32 +344,79 @@ def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", leas
     classes = stored(signed.groupBy("g1", "g2", "n").agg(first, F.count("*").alias("copies"), F.first("keys").alias("keys"), F.first("bins").alias("bins")), "classes")
     # A class is known by its content hash, as ids may repeat or be null.
     keyed = classes.where(f"n >= {WORDS}").select(F.explode("keys").alias("key"), "n", "g1", "bins")
-    # A bucket of more than BUCKET members is cut into parts; every two parts meet in a block of their own.
-    large = keyed.groupBy("key").agg(F.ceil(F.count("*") / BUCKET).cast("int").alias("parts")).where("parts > 1")
-    blocks = F.expr("case when parts is null then array(0) else transform(sequence(0, parts - 1), j -> cast(least(j, pmod(g1, parts)) * parts + greatest(j, pmod(g1, parts)) as int)) end")
-    dealt = keyed.join(large, "key", "left").select("key", F.explode(blocks).alias("block"), "n", "g1", "bins")
-    pairs = dealt.repartition("key", "block").sortWithinPartitions("key", "block", "n", "g1").mapInArrow(_pairs, "a long, b long").where("a != b").distinct()
-    pairs = stored(pairs, "pairs")
+    pairs = stored(_dealt(keyed).mapInArrow(_pairs(BINS, _first_round), _PAIR).where("a != b").distinct(), "pairs")
     release(spark)
     # The words of one text for each class that is in a pair.
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("g1")).distinct()
     owners = classes.join(wanted, "g1", "left_semi").select("g1", F.coalesce("r.id", F.lit(_NO_ID)).alias("k"), F.col("r.x").alias("x"))
-    texts = rows.withColumn("k", F.coalesce("id", F.lit(_NO_ID))).join(owners.hint("shuffle_hash"), ["k", "x"]).select("g1", "text")
-    texts = stored(texts, "texts")
+    texts = stored(rows.withColumn("k", F.coalesce("id", F.lit(_NO_ID))).join(owners.hint("shuffle_hash"), ["k", "x"]).select("g1", "text"), "texts")
     release(spark)
-    with_a = pairs.join(texts.select(F.col("g1").alias("a"), F.col("text").alias("ta")), "a")
-    with_b = with_a.join(texts.select(F.col("g1").alias("b"), F.col("text").alias("tb")), "b")
-    links = stored(with_b.select("a", "b", "ta", "tb").mapInArrow(_verify(least), "a long, b long").distinct(), "links")
+    links = stored(_alike(pairs, texts, least), "links")
+    roots = components(links)
+    # Second round: members of pairs, in buckets where they are not yet one group.
+    members = stored(keyed.select("key", "n", "g1").join(wanted, "g1", "left_semi"), "members")
+    bodies = stored(texts.dropDuplicates(["g1"]).mapInArrow(_bodies, "g1 long, bins binary, words binary"), "bodies")
+    now = _in_groups(members, roots)
+    split = now.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo != hi").select("key")
+    left = now.join(split, "key", "left_semi").join(bodies.select("g1", "bins"), "g1")
+    tried = _dealt(left, "root").mapInArrow(_pairs(FINE_BINS, _second_round), _PAIR).where("a != b").distinct()
+    tried = stored(tried, "tried")
+    found = stored(_alike(tried, texts, least), "found")
+    roots = _folded(roots, found)
+    # Third round: members whose nearest in another group is not alike, in their buckets.
+    open_ = tried.join(found, ["a", "b"], "left_anti")
+    ends = stored(open_.select(F.explode(F.array("a", "b")).alias("g1")).distinct().withColumn("wanted", F.lit(1).cast("long")), "ends")
+    if not ends.isEmpty():
+        now = _in_groups(members, roots)
+        split = now.join(ends, "g1", "left_semi").select("key").distinct()
+        left = now.join(split, "key", "left_semi").join(ends, "g1", "left").withColumn("wanted", F.coalesce("wanted", F.lit(0).cast("long")))
+        left = left.join(bodies, "g1").join(classes.select("g1", "keys"), "g1")
+        roots = _folded(roots, stored(_dealt(left, "root", "wanted", "keys", "words").mapInArrow(_pairs(FINE_BINS, _third_round(least)), _PAIR).distinct(), "last"))
+    drop(bodies)
     drop(texts)
+    drop(members)
     release(spark)
-    roots = components(links)
-    degree = links.select(F.explode(F.array("a", "b")).alias("g1")).groupBy("g1").agg(F.count("*").alias("n_links"))
-    named = classes.select("g1", "g2", "n", F.col("r.id").alias("class_id"), "copies").join(roots.select(F.col("id").alias("g1"), "root"), "g1", "left").join(degree, "g1", "left")
+    named = classes.select("g1", "g2", "n", F.col("r.id").alias("class_id"), "copies").join(roots.select(F.col("id").alias("g1"), "root"), "g1", "left")
     named = named.withColumn("root", F.coalesce("root", "g1"))
     sums = named.groupBy("root").agg(F.min("class_id").alias("group_id"), F.sum("copies").alias("group_size"))
-    named = named.join(sums, "root").select("g1", "g2", "n", "class_id", "group_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), "group_size", "root")
+    named = named.join(sums, "root").select("g1", "g2", "n", "class_id", "group_id", "group_size", "root")
     out = signed.select("id", "x", "g1", "g2", "n").join(named, ["g1", "g2", "n"])
-    return out.select(F.col("id").alias("doc_id"), F.col("x").alias("text_hash"), F.col("n").alias("n_words"), "class_id", "group_id", "n_links", "group_size", F.col("root").alias("group_hash"))
+    return out.select(F.col("id").alias("doc_id"), F.col("x").alias("text_hash"), F.col("n").alias("n_words"), "class_id", "group_id", "group_size", F.col("root").alias("group_hash"))
+
+
+_PAIR = "a long, b long"
+
+
+def _in_groups(members: DataFrame, roots: DataFrame) -> DataFrame:
+    return members.join(roots.select(F.col("id").alias("g1"), "root"), "g1", "left").withColumn("root", F.coalesce("root", "g1"))
+
+
+def _folded(roots: DataFrame, links: DataFrame) -> DataFrame:
+    """id and root with further links taken in: roots stand for their groups, so only the new links are folded."""
+    if links.isEmpty():
+        return roots
+    known = roots.select(F.col("id").alias("k"), F.col("root").alias("r"))
+    ends = links.join(known, F.col("a") == F.col("k"), "left").select(F.coalesce("r", "a").alias("a"), "b")
+    ends = ends.join(known, F.col("b") == F.col("k"), "left").select("a", F.coalesce("r", "b").alias("b"))
+    new = ends.select(F.explode(F.array("a", "b")).alias("id")).distinct().join(roots.select("id"), "id", "left_anti")
+    every = roots.select("id", "root").unionByName(new.select("id", F.col("id").alias("root")))
+    over = components(ends).select(F.col("id").alias("k"), F.col("root").alias("r"))
+    return stored(every.join(over, F.col("root") == F.col("k"), "left").select("id", F.coalesce("r", "root").alias("root")), "roots")
+
+
+def _dealt(members: DataFrame, *more: str) -> DataFrame:
+    """Members (key, n, g1, bins) by bucket; a bucket of more than BUCKET is cut into parts, and every two parts meet in a block of their own."""
+    large = members.groupBy("key").agg(F.ceil(F.count("*") / BUCKET).cast("int").alias("parts")).where("parts > 1")
+    blocks = F.expr("case when parts is null then array(0) else transform(sequence(0, parts - 1), j -> cast(least(j, pmod(g1, parts)) * parts + greatest(j, pmod(g1, parts)) as int)) end")
+    dealt = members.join(large, "key", "left").select("key", F.explode(blocks).alias("block"), "n", "g1", "bins", *more)
+    return dealt.repartition("key", "block").sortWithinPartitions("key", "block", "n", "g1")
+
+
+def _alike(pairs: DataFrame, texts: DataFrame, least: float) -> DataFrame:
+    """The pairs whose texts are alike."""
+    with_a = pairs.join(texts.select(F.col("g1").alias("a"), F.col("text").alias("ta")), "a")
+    with_b = with_a.join(texts.select(F.col("g1").alias("b"), F.col("text").alias("tb")), "b")
+    return with_b.select("a", "b", "ta", "tb").mapInArrow(_verify(least), _PAIR).distinct()
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: float = SIMILARITY) -> DataFrame:

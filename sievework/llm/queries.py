@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, htmltext, langid, media, mixing, neardup, sharding, suffixarray, suffixtree, toxicity
+from . import decontaminate, htmltext, langid, media, mixing, neardup, oracles, sharding, suffixarray, suffixtree, toxicity
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -49,7 +49,7 @@ def op8_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return neardup.groups(_documents(spark, sf_dir)).select("doc_id", "n_words", "class_id", "group_id", "n_links", "group_size")
+    return neardup.groups(_documents(spark, sf_dir)).select("doc_id", "n_words", "class_id", "group_id", "group_size")
 
 
 def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -69,4 +69,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(oracles.SQL)
