@@ -16,7 +16,6 @@ however long it is. Other columns of both tables are ignored.
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 
 import numpy as np

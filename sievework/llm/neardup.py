@@ -13,7 +13,7 @@ labelled by its least doc_id.
 A bucket's pairs are not all aligned, yet no link between groups is lost. A lower bound of the
 edit distance (lengths, and counts of words in 64 bins) rules pairs out exactly. First round:
 each member is paired with the nearest leader that the bound leaves possible, or else becomes a
-leader; that is one pair a member. Second round: in buckets whose paired members are not yet one
+leader; that is about one pair a member, and whoever may be like another is in one. Second round: in buckets whose paired members are not yet one
 group, every pair across groups that the bound leaves possible is aligned. A pair inside a
 group needs no alignment: it cannot change the groups. To spare alignments, the second round
 counts words in 512 bins and first tries, for each member and each other group of a bucket, the
@@ -156,22 +156,35 @@ def _bounds(wide: np.ndarray, n: np.ndarray, i: int, others) -> np.ndarray:
 
 
 def leader_pairs(n: np.ndarray, bins: np.ndarray, least: float = SIMILARITY) -> tuple[np.ndarray, np.ndarray]:
-    """One bucket's members (sorted by n): each with the nearest leader it may be like; others become leaders."""
+    """One bucket's members (sorted by n): each with the nearest leader it may be like; others become leaders.
+
+    Every member that may be like any other is in a pair at least: a leader is paired with the
+    first member near it, and a new leader with the nearest member before it, leader or not.
+    """
     wide, size = bins.astype(np.int16), len(n)
-    leaders, left, right = np.zeros(size, np.int64), [], []
+    leaders, paired, left, right = np.zeros(size, np.int64), np.zeros(size, bool), [], []
     held = 0
     for i in range(size):
         allowed = (1 - least) * n[i] + 1e-9
-        # Sorted by length: this one is the longer, and leaders too short for it stay too short.
+        # Sorted by length: this one is the longer, and members too short for it stay too short.
         first = int(np.searchsorted(n[leaders[:held]], n[i] - allowed, "left"))
         near = leaders[first:held]
+        bound = _bounds(wide, n, i, near)
+        near, bound = near[bound <= allowed], bound[bound <= allowed]
         if len(near):
-            bound = _bounds(wide, n, i, near)
-            best = int(bound.argmin())
-            if bound[best] <= allowed:
-                left.append(near[best])
+            best = near[int(bound.argmin())]
+            paired[best] = True
+            for leader in (best, *near[~paired[near]]):
+                left.append(leader)
                 right.append(i)
-                continue
+            paired[near] = paired[i] = True
+            continue
+        before = np.arange(int(np.searchsorted(n, n[i] - allowed, "left")), i)
+        bound = _bounds(wide, n, i, before)
+        if len(before) and bound.min() <= allowed:
+            left.append(before[int(bound.argmin())])
+            right.append(i)
+            paired[i] = True
         leaders[held] = i
         held += 1
     return np.array(left, np.int64), np.array(right, np.int64)
