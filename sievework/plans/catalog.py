@@ -100,7 +100,7 @@ def extract_pages(spark, sf_dir):
     return out.select(F.col("input_pos").alias("page_id"), "title", "text", F.col("drop.code").alias("code"))
 
 
-@query(r"SELECT page_id, trim(regexp_replace(replace(replace(replace(replace(regexp_extract(html, '<title>(.*?)</title>', 1, 's'), '&quot;', '""'), '&copy;', '©'), '&middot;', '·'), '&amp;', '&'), '\s+', ' ', 'g')) AS title FROM pages".replace('""', '"'))
+@query(r"""SELECT page_id, trim(regexp_replace(replace(replace(replace(replace(regexp_extract(html, '<title>(.*?)</title>', 1, 's'), '&quot;', '"'), '&copy;', '©'), '&middot;', '·'), '&amp;', '&'), '\s+', ' ', 'g')) AS title FROM pages""")
 def extract_titles(spark, sf_dir):
     out = extract.extract(pages_table(_pages(spark, sf_dir)), Extract())
     return out.select(F.col("input_pos").alias("page_id"), "title")
