@@ -194,7 +194,8 @@ def _other_groups(n: np.ndarray, wide: np.ndarray, group: np.ndarray, least: flo
     """Of one bucket, each member outside the largest group, with the members of larger groups that may be like it, their groups and bounds."""
     _, codes, sizes = np.unique(group, return_inverse=True, return_counts=True)
     rank = sizes[codes] * len(n) + codes
-    for i in np.flatnonzero(codes != sizes.argmax()):
+    # Of equally large groups the last ranks highest: only the group of greatest rank has no larger one.
+    for i in np.flatnonzero(codes != codes[rank.argmax()]):
         # Each pair once, from the member of the smaller group.
         js = np.flatnonzero((rank > rank[i]) & (n >= least * n[i] - 1) & (n * least <= n[i] + 1))
         bound = _bounds(wide, n, i, js)

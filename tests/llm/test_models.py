@@ -113,6 +113,22 @@ def test_bucket_rounds_lose_no_group(monkeypatch):
         assert grouped(done, 30) == grouped(alike, 30)
 
 
+@pytest.mark.parametrize("sizes", [(1, 1), (2, 2), (1, 1, 1), (2, 2, 2), (3, 3, 1), (1, 3, 3)])
+def test_equal_groups_of_a_bucket_meet(monkeypatch, sizes):
+    """Every two groups are tried, from one side or the other, also where the largest are equally large."""
+    group = np.repeat(np.arange(len(sizes)) * 7 + 3, sizes)
+    size = len(group)
+    n, bins, keys = np.full(size, 20), np.ones((size, neardup.BINS), np.uint8), np.zeros((size, 20), np.int64)
+    every = {(a, b) for a in group.tolist() for b in group.tolist() if a < b}
+    met = lambda pairs: {tuple(sorted((int(group[i]), int(group[j])))) for i, j in pairs}
+    assert met(zip(*neardup.nearest_pairs(n, bins, group))) == every
+    # Alike are only the last members of two groups: the third round has to go through all pairs.
+    last = {int(g): int(np.flatnonzero(group == g)[-1]) for g in np.unique(group)}
+    monkeypatch.setattr(neardup, "similar", lambda a, b, least: 1.0 if {a, b} <= set(last.values()) else None)
+    found = neardup.remaining_links(n, bins, group, np.ones(size, np.int64), keys, 0, lambda i: i)
+    assert met(found) == every and all({i, j} <= set(last.values()) for i, j in found)
+
+
 def test_near_duplicates(table):
     rng = random.Random(9)
     vocabulary = [f"w{i}" for i in range(3000)]
