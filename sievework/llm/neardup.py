@@ -1,10 +1,14 @@
 """Near-duplicate documents by Order MinHash and banded alignment.
 
-A document is its sequence of lower-cased words. Its 5-word shingles are labelled with their
+A document is its sequence of lower-cased words. Its two-word shingles are labelled with their
 occurrence (the second use of a shingle differs from the first). Each of ``SKETCHES`` hash
 functions picks the ``PICKS`` least labelled shingles and keeps them in text order: two documents
 share that key with a probability that follows their edit similarity, order included.
 
+Short texts have too few shingles for that. Where the longer of two texts has up to ``SHORT``
+words, d edits spoil at most 2d shingles of either, so their 2d + 1 least shingles of one seeded
+order have one in common: these shingles are their keys, and no such pair is lost.
+
 Equal word sequences first become one class, so copies meet as one row. Classes that share a key
 are candidates. They are verified by banded alignment: two texts are alike if at most
 1 - ``SIMILARITY`` of the longer one's words must be edited. Connected texts form a group,
@@ -21,7 +25,7 @@ nearest member only. Where that one is not alike, the third round aligns the mem
 others of that group that the bound leaves, nearest first, until one is alike; it does so inside
 the bucket, in the first bucket that the two share, and passes on links and not pairs.
 
-Defined results: null, empty and blank texts have no words and are one group; texts under five words
+Defined results: null, empty and blank texts have no words and are one group; texts under four words
 are linked only when equal, which is all that 0.8 allows them; a null doc_id is no label if the
 group has another; rows with equal id and text are members like others; other columns are ignored.
 Nothing is collected but the number of changes in a round.
@@ -40,8 +44,10 @@ from .alignment import similar
 from .arrays import BYTE_VALUES, U64, longs, mix, pieces, span_hashes, utf8, word_spans
 from .tables import drop, release, small_batches, stored
 
-WORDS, SIMILARITY = 5, 0.8
-SKETCHES, PICKS = 20, 2
+WORDS, SIMILARITY = 2, 0.8
+SKETCHES, PICKS = 32, 2
+#: Least words of a text that can be like a different one, and most words of a pair that is found for certain.
+LEAST_WORDS, SHORT = 4, 24
 BINS, FINE_BINS = 64, 512
 #: Members of a bucket that one task compares.
 BUCKET = 20_000
@@ -49,6 +55,7 @@ _NO_ID = -(2**63)
 _FOLDED = BYTE_VALUES.copy()
 _FOLDED[0x41:0x5B] = _FOLDED[0x61:0x7B]
 _SEEDS = mix(np.arange(1, SKETCHES + 1, dtype=np.uint64) * U64(0x9E3779B97F4A7C15))
+_SHORT_SEED = U64(0xA0761D6478BD642F)
 
 
 def words_of(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -108,6 +115,37 @@ def sketches(shingles: np.ndarray, offsets: np.ndarray, picks: int = PICKS) -> n
     return out
 
 
+def short_keys(shingles: np.ndarray, offsets: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of each text of LEAST_WORDS to SHORT words the least shingles, ascending, as keys; and their number by document."""
+    # A text like this one has at most n / SIMILARITY words, and no more than SHORT.
+    longest = np.minimum(np.floor(n / SIMILARITY + 1e-9), SHORT)
+    edits = np.floor((1 - SIMILARITY) * longest + 1e-9).astype(np.int64)
+    many = np.where((n >= LEAST_WORDS) & (n <= SHORT), np.minimum(WORDS * edits + 1, np.diff(offsets)), 0)
+    owner = np.repeat(np.arange(len(n)), np.diff(offsets))
+    held = many[owner] > 0
+    owner, keys = owner[held], mix(shingles[held] ^ _SHORT_SEED)
+    by = np.lexsort((keys, owner))
+    owner, keys = owner[by], keys[by]
+    new = np.ones(len(owner), bool)
+    new[1:] = owner[1:] != owner[:-1]
+    first = np.maximum.accumulate(np.where(new, np.arange(len(owner)), 0))
+    return keys[np.arange(len(owner)) - first < many[owner]], many
+
+
+def keys_of(words: np.ndarray, per: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Candidate keys of each document (sketches, then short keys), and len + 1 offsets into them."""
+    n = np.diff(per)
+    labelled = labelled_shingles(words, per)
+    short, many = short_keys(*labelled, n)
+    # A text whose match has over SHORT words has sketches.
+    long = n >= SIMILARITY * (SHORT + 1) - 1e-9
+    at = np.concatenate(([0], np.cumsum(long * SKETCHES + many)))
+    out = np.zeros(at[-1], np.uint64)
+    out[at[:-1][long][:, None] + np.arange(SKETCHES)] = sketches(*labelled)[long]
+    out[np.repeat(at[1:] - np.cumsum(many), many) + np.arange(len(short))] = short
+    return out, at
+
+
 def _profile(words: np.ndarray, per: np.ndarray, bins: int = BINS) -> np.ndarray:
     """Counts of words in bins, at most 255 each, for each document."""
     docs = len(per) - 1
@@ -134,19 +172,20 @@ SIGNED = "id long, x long, g1 long, g2 long, n long, keys array<long>, bins bina
 def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         data, at = utf8(batch.column(2))
-        g1, g2, n, keys, bins = [], [], [], [], []
+        g1, g2, n, keys, many, bins = [], [], [], [], [np.zeros(1, np.int64)], []
         for i, j in pieces(np.diff(at), 1 << 18):
             words, per = words_of(data[at[i] : at[j]], at[i : j + 1] - at[i])
             g1.append(span_hashes(words, per[:-1], per[1:]))
             g2.append(span_hashes(mix(words), per[:-1], per[1:]))
             n.append(np.diff(per))
-            keys.append(sketches(*labelled_shingles(words, per)))
+            flat, ends = keys_of(words, per)
+            keys.append(flat)
+            many.append(np.diff(ends))
             bins.append(_profile(words, per))
         if not n:
             continue
-        n, keys = np.concatenate(n), np.concatenate(keys).view(np.int64)
-        has = n >= WORDS
-        lists = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(has * SKETCHES))), pa.int32()), pa.array(keys[has].ravel()))
+        n = np.concatenate(n)
+        lists = pa.ListArray.from_arrays(pa.array(np.cumsum(np.concatenate(many)), pa.int32()), pa.array(np.concatenate(keys).view(np.int64)))
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(np.concatenate(g1).view(np.int64)), pa.array(np.concatenate(g2).view(np.int64)), pa.array(n, pa.int64()), lists, _binary(np.concatenate(bins))], ["id", "x", "g1", "g2", "n", "keys", "bins"])
 
 
@@ -219,11 +258,14 @@ def nearest_pairs(n: np.ndarray, bins: np.ndarray, group: np.ndarray, least: flo
 def remaining_links(n, bins, group, wanted, keys, key, words, least: float = SIMILARITY) -> list[tuple[int, int]]:
     """One bucket's members: for each wanted one and each other group, a member that is alike, if there is one.
 
-    A pair is judged only in the bucket of the first key that the two share.
+    A pair is judged only in the bucket of the first key that the two share. Sketches stand at the
+    same place in both rows of ``keys``; short keys, after them, ascend in both.
     """
     out = []
     for i, js, codes, _ in _other_groups(n, bins.astype(np.int16), group, least):
         shared = keys[js] == keys[i]
+        if n[i] <= SHORT:
+            shared[:, SKETCHES:] = (keys[js, SKETCHES:, None] == keys[i, None, SKETCHES:]).any(axis=1)
         here = keys[i][shared.argmax(axis=1)] == key
         done = set()
         for j, code in zip(js[here].tolist(), codes[here].tolist()):
@@ -295,11 +337,21 @@ def _second_round(key, n, ids, bins, group):
     return nearest_pairs(n, bins, group)
 
 
+def _key_rows(n: np.ndarray, flat: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """A row for each member: its sketches, then its short keys. What a member lacks is like nothing in another row."""
+    lead = np.where(n >= SIMILARITY * (SHORT + 1) - 1e-9, 0, SKETCHES)
+    out = np.repeat(-1 - np.arange(len(n)), max(SKETCHES, int((lead + sizes).max()))).reshape(len(n), -1)
+    owner = np.repeat(np.arange(len(n)), sizes)
+    place = np.arange(len(flat)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    out[owner, lead[owner] + place] = flat
+    return out
+
+
 def _third_round(least: float):
     def judge(key, n, ids, bins, group, wanted, keys, words):
         data, at = utf8(words)
         hashes, at = np.frombuffer(data.tobytes(), np.uint64), at // 8
-        held = np.asarray(keys.flatten()).reshape(len(n), -1)
+        held = _key_rows(n, np.asarray(keys.flatten()), np.asarray(keys.value_lengths()))
         found = remaining_links(n, bins, group, wanted, held, key, lambda i: hashes[at[i] : at[i + 1]], least)
         return np.array([i for i, _ in found], np.int64), np.array([j for _, j in found], np.int64)
 
@@ -354,10 +406,16 @@ def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", leas
     small_batches(spark)
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(F.col(text_col)).alias("x"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     signed = stored(rows.mapInArrow(_sign, SIGNED), "signed")
+    slim = stored(signed.select("id", "x", "g1", "g2", "n"), "slim")
     first = F.min(F.struct(F.col("id").isNull().alias("no"), "id", "x")).alias("r")
     classes = stored(signed.groupBy("g1", "g2", "n").agg(first, F.count("*").alias("copies"), F.first("keys").alias("keys"), F.first("bins").alias("bins")), "classes")
+    drop(signed)
     # A class is known by its content hash, as ids may repeat or be null.
-    keyed = classes.where(f"n >= {WORDS}").select(F.explode("keys").alias("key"), "n", "g1", "bins")
+    # Most keys have one member: keys meet without the bins, which then come only to those that are shared.
+    keys = classes.select("g1", F.explode("keys").alias("key")).repartition("key")
+    shared = keys.join(keys.groupBy("key").count().where("count > 1").select("key"), "key", "left_semi")
+    keyed = stored(shared.join(classes.select("g1", "n", "bins"), "g1").select("key", "n", "g1", "bins"), "keyed")
+    release(spark)
     pairs = stored(_dealt(keyed).mapInArrow(_pairs(BINS, _first_round), _PAIR).where("a != b").distinct(), "pairs")
     release(spark)
     # The words of one text for each class that is in a pair.
@@ -369,6 +427,7 @@ def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", leas
     roots = components(links)
     # Second round: members of pairs, in buckets where they are not yet one group.
     members = stored(keyed.select("key", "n", "g1").join(wanted, "g1", "left_semi"), "members")
+    drop(keyed)
     bodies = stored(texts.dropDuplicates(["g1"]).mapInArrow(_bodies, "g1 long, bins binary, words binary"), "bodies")
     now = _in_groups(members, roots)
     split = now.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo != hi").select("key")
@@ -376,6 +435,8 @@ def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", leas
     tried = _dealt(left, "root").mapInArrow(_pairs(FINE_BINS, _second_round), _PAIR).where("a != b").distinct()
     tried = stored(tried, "tried")
     found = stored(_alike(tried, texts, least), "found")
+    drop(texts)
+    release(spark)
     roots = _folded(roots, found)
     # Third round: members whose nearest in another group is not alike, in their buckets.
     open_ = tried.join(found, ["a", "b"], "left_anti")
@@ -384,17 +445,17 @@ def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", leas
         now = _in_groups(members, roots)
         split = now.join(ends, "g1", "left_semi").select("key").distinct()
         left = now.join(split, "key", "left_semi").join(ends, "g1", "left").withColumn("wanted", F.coalesce("wanted", F.lit(0).cast("long")))
-        left = left.join(bodies, "g1").join(classes.select("g1", "keys"), "g1")
-        roots = _folded(roots, stored(_dealt(left, "root", "wanted", "keys", "words").mapInArrow(_pairs(FINE_BINS, _third_round(least)), _PAIR).distinct(), "last"))
+        # The words come once the members are dealt, so that they travel to their buckets in one shuffle.
+        wide = bodies.join(classes.select("g1", "keys"), "g1")
+        roots = _folded(roots, stored(_dealt(left, "root", "wanted", "keys", "words", late=wide).mapInArrow(_pairs(FINE_BINS, _third_round(least)), _PAIR).distinct(), "last"))
     drop(bodies)
-    drop(texts)
     drop(members)
     release(spark)
     named = classes.select("g1", "g2", "n", F.col("r.id").alias("class_id"), "copies").join(roots.select(F.col("id").alias("g1"), "root"), "g1", "left")
     named = named.withColumn("root", F.coalesce("root", "g1"))
     sums = named.groupBy("root").agg(F.min("class_id").alias("group_id"), F.sum("copies").alias("group_size"))
     named = named.join(sums, "root").select("g1", "g2", "n", "class_id", "group_id", "group_size", "root")
-    out = signed.select("id", "x", "g1", "g2", "n").join(named, ["g1", "g2", "n"])
+    out = slim.join(named, ["g1", "g2", "n"])
     return out.select(F.col("id").alias("doc_id"), F.col("x").alias("text_hash"), F.col("n").alias("n_words"), "class_id", "group_id", "group_size", F.col("root").alias("group_hash"))
 
 
@@ -418,11 +479,14 @@ def _folded(roots: DataFrame, links: DataFrame) -> DataFrame:
     return stored(every.join(over, F.col("root") == F.col("k"), "left").select("id", F.coalesce("r", "root").alias("root")), "roots")
 
 
-def _dealt(members: DataFrame, *more: str) -> DataFrame:
-    """Members (key, n, g1, bins) by bucket; a bucket of more than BUCKET is cut into parts, and every two parts meet in a block of their own."""
+def _dealt(members: DataFrame, *more: str, late: DataFrame | None = None) -> DataFrame:
+    """Members (key, n, g1, bins; what they lack comes from ``late`` by g1) by bucket; a bucket of more than BUCKET is cut into parts, and every two parts meet in a block of their own."""
     large = members.groupBy("key").agg(F.ceil(F.count("*") / BUCKET).cast("int").alias("parts")).where("parts > 1")
     blocks = F.expr("case when parts is null then array(0) else transform(sequence(0, parts - 1), j -> cast(least(j, pmod(g1, parts)) * parts + greatest(j, pmod(g1, parts)) as int)) end")
-    dealt = members.join(large, "key", "left").select("key", F.explode(blocks).alias("block"), "n", "g1", "bins", *more)
+    dealt = members.join(large, "key", "left").withColumn("block", F.explode(blocks))
+    if late is not None:
+        dealt = dealt.join(late, "g1")
+    dealt = dealt.select("key", "block", "n", "g1", "bins", *more)
     return dealt.repartition("key", "block").sortWithinPartitions("key", "block", "n", "g1")
 
 

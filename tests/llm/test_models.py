@@ -129,6 +129,64 @@ def test_equal_groups_of_a_bucket_meet(monkeypatch, sizes):
     assert met(found) == every and all({i, j} <= set(last.values()) for i, j in found)
 
 
+def edited(rng, words, edits):
+    """``words`` after so many replaced, inserted or removed words."""
+    out = list(words)
+    for _ in range(edits):
+        at, kind = rng.randrange(len(out)), rng.randrange(3)
+        out[at : at + (kind != 1)] = [] if kind == 2 else [rng.getrandbits(62)]
+    return out
+
+
+@pytest.mark.parametrize("length, share", [*[(n, 1.0) for n in range(4, 25)], (25, 0.985), (30, 0.985), (50, 0.99), (100, 0.99), (400, 0.99)])
+def test_candidates_at_the_threshold(length, share):
+    """Pairs just alike have a common key: all where both are short, else nearly all, also where every fifth word is replaced."""
+    rng = random.Random(length)
+    left, right = [], []
+    for k in range(400 if length < 25 else 200):
+        a = [rng.getrandbits(62) if rng.random() < 0.9 else 7 for _ in range(length)]
+        b = edited(rng, a, length // 5) if k % 4 else [w if i % 5 != 2 or i // 5 >= length // 5 else rng.getrandbits(62) for i, w in enumerate(a)]
+        if similar(np.array(a), np.array(b), neardup.SIMILARITY) is None or (length < 25 < len(b)):
+            continue
+        left.append(a)
+        right.append(b)
+    if length == 4:
+        left, right = [[1, 2, 3, 4]] * 5, [[1, 2, 3, 4, 5], [5, 1, 2, 3, 4], [1, 5, 2, 3, 4], [1, 2, 5, 3, 4], [1, 2, 3, 5, 4]]
+    keys, at = neardup.keys_of(np.array([w for t in left + right for w in t], np.uint64), np.concatenate(([0], np.cumsum([len(t) for t in left + right]))))
+    sets = [set(keys[i:j].tolist()) for i, j in zip(at[:-1], at[1:])]
+    met = [bool(sets[i] & sets[i + len(left)]) for i in range(len(left))]
+    assert len(met) >= 5 and np.mean(met) >= share
+    # The third round finds the same common keys in its rows.
+    sizes = np.diff(at)
+    rows = neardup._key_rows(np.array([len(t) for t in left + right]), keys.view(np.int64), sizes)
+    assert all(set(r.tolist()) >= set(keys[i:j].view(np.int64).tolist()) for r, i, j in zip(rows, at[:-1], at[1:]))
+
+
+def test_third_round_judges_short_pairs_once(monkeypatch):
+    """Short keys stand at different places in two rows; a pair is judged in the bucket of the first shared one, seen from either side."""
+    keys = neardup._key_rows(np.array([10, 10]), np.array([2, 5, 9, 3, 5, 9]), np.array([3, 3]))
+    monkeypatch.setattr(neardup, "similar", lambda a, b, least: 1.0)
+    for order in ([0, 1], [1, 0]):
+        judged = {key: neardup.remaining_links(np.array([10, 10]), np.ones((2, 64), np.uint8), np.array(order), np.ones(2), keys[order], key, lambda i: i) for key in (5, 9)}
+        assert len(judged[5]) == 1 and not judged[9]
+
+
+def test_short_near_duplicates(table):
+    """Groups of short texts are those of all pairs by plain alignment."""
+    rng = random.Random(6)
+    texts = []
+    for _ in range(60):
+        a = [rng.getrandbits(62) for _ in range(rng.randint(4, 24))]
+        texts += [a, edited(rng, a, max(1, len(a) // 5))]
+    root = list(range(len(texts)))
+    pairs = [(i, j) for j in range(len(texts)) for i in range(j) if max(len(texts[i]), len(texts[j])) <= neardup.SHORT and similar(np.array(texts[i]), np.array(texts[j]), 0.8) is not None]
+    for i, j in pairs:
+        root = [root[i] if r == root[j] else r for r in root]
+    assert len(pairs) > 30
+    got = {r["doc_id"]: r["group_id"] for r in neardup.groups(table([(i, " ".join(f"w{w}" for w in t)) for i, t in enumerate(texts)])).collect()}
+    assert all(got[i] == got[j] for i, j in pairs) and all(got[i] == root[i] for i in got if max(len(texts[i]), len(texts[root[i]])) <= neardup.SHORT)
+
+
 def test_near_duplicates(table):
     rng = random.Random(9)
     vocabulary = [f"w{i}" for i in range(3000)]
