@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..plans.shared import stored
+from ..plans.shared import drop, release, stored
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -25,8 +25,11 @@ def components(edges: DataFrame) -> DataFrame:
         low = large.groupBy("v").agg(F.min("u").alias("m")).select(F.col("v").alias("c"), "m")
         joined = large.join(low, F.col("v") == F.col("c"))
         small = joined.select(F.col("m").alias("u"), F.col("u").alias("v")).unionByName(joined.select(F.col("m").alias("u"), "v")).where("u < v").distinct()
-        now = stored(small, "edges")
+        after = stored(small, "edges")
+        drop(now)
+        now = after
         # Settled when every vertex hangs on one root that hangs on nothing.
         loose = not now.select(F.col("u").alias("r")).distinct().join(now.select(F.col("v").alias("r")).distinct(), "r").isEmpty()
         if not loose and now.groupBy("v").count().where("count > 1").isEmpty():
+            release(now.sparkSession)
             return now.select(F.col("v").alias("id"), F.col("u").alias("root")).unionByName(now.select(F.col("u").alias("id"), F.col("u").alias("root")).distinct())

@@ -2,19 +2,44 @@
 
 from __future__ import annotations
 
+import gc
+import re
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder of ``spark.checkpoint.dir``; one under the warehouse where that is unset (tests)."""
+    """The folder of ``spark.checkpoint.dir``. Where it is unset: one under the warehouse in local mode (tests), else an error.
+
+    On a cluster a folder of one machine would lose tables, so none is chosen silently.
+    """
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not found and not re.match(r"local(\[|$)", spark.sparkContext.master):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     return (found or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_shared").rstrip("/")
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written as Parquet and read back: the lineage is cut and lost executors lose no rows."""
+    """``df`` written as Parquet and read back: the lineage is cut and lost executors lose no rows.
+
+    Shuffle files of the job that made the table are released as soon as the driver no longer refers to it.
+    """
     path = f"{shared_dir(df.sparkSession)}/sievework-{uuid.uuid4().hex}/{name}"
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._sievework_path = path
+    return out
+
+
+def release(spark: SparkSession) -> None:
+    """Let the context cleaner remove the shuffle files of jobs that are over."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
+def drop(df: DataFrame) -> None:
+    """Delete a table made by :func:`stored` that no later plan reads."""
+    if path := getattr(df, "_sievework_path", None):
+        target = df.sparkSession.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
