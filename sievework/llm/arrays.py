@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import hashlib
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
 U64 = np.uint64
+#: Words of more bytes are hashed by BLAKE2b.
+LONG_WORD = 1024
 #: Bytes that end a word: space and 0x09 to 0x0D.
 SPACES = np.zeros(256, bool)
 SPACES[[0x20, *range(0x09, 0x0E)]] = True
@@ -20,7 +24,10 @@ _INVERSE = pow(BASE, -1, 2**64)
 def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The bytes of a string or binary column, and len + 1 offsets into them. Null is empty."""
     if isinstance(column, pa.ChunkedArray):
-        column = column.combine_chunks()
+        # Chunks that together pass 2 GB would stay apart in a type of 32-bit offsets.
+        wide = pa.large_binary() if pa.types.is_binary(column.type) or pa.types.is_large_binary(column.type) else pa.large_string()
+        column = column.cast(wide).combine_chunks()
+        column = column.chunk(0) if isinstance(column, pa.ChunkedArray) else column
     if column.null_count:
         column = pc.fill_null(column, "" if pa.types.is_string(column.type) or pa.types.is_large_string(column.type) else b"")
     kind = np.int64 if pa.types.is_large_string(column.type) or pa.types.is_large_binary(column.type) else np.int32
@@ -59,13 +66,71 @@ def mix(x: np.ndarray) -> np.ndarray:
         return x ^ (x >> U64(33))
 
 
-def span_hashes(values: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of each values[lo:hi]; equal spans have equal hashes wherever they stand."""
+#: Values whose prefix sums are held at a time; bounds the tables of powers as well.
+PIECE = (1 << 20) - 1
+
+
+def span_hashes(values: np.ndarray, lo: np.ndarray, hi: np.ndarray, table: np.ndarray | None = None) -> np.ndarray:
+    """A 64-bit hash of each values[lo:hi]; equal spans have equal hashes wherever they stand.
+
+    With ``table``, ``values`` are small numbers that stand for its entries. Long arrays are handled in pieces.
+    """
+    if len(values) <= PIECE:
+        return _piece_hashes(values if table is None else table[values], lo, hi)
+    out = np.empty(len(lo), np.uint64)
+    order = np.argsort(lo, kind="stable") if len(lo) > 1 and (lo[1:] < lo[:-1]).any() else np.arange(len(lo))
+    # The end of a piece is the greatest end of its spans.
+    starts, ends = lo[order], np.maximum.accumulate(hi[order])
+    i = 0
+    while i < len(order):
+        j = int(np.searchsorted(ends, starts[i] + PIECE, "right"))
+        if j <= i:
+            out[order[i]] = _long_hash(values, int(lo[order[i]]), int(hi[order[i]]), table)
+            i += 1
+            continue
+        here, base = order[i:j], starts[i]
+        part = values[base : ends[j - 1]]
+        out[here] = _piece_hashes(part if table is None else table[part], lo[here] - base, hi[here] - base)
+        i = j
+    return out
+
+
+def _piece_hashes(values: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
     up, down = powers(len(values) + 1)
     with np.errstate(over="ignore"):
         total = np.zeros(len(values) + 1, np.uint64)
         np.cumsum(values * up[: len(values)], out=total[1:])
-        return mix((total[hi] - total[lo]) * down[lo] + (hi - lo).astype(np.uint64) * U64(0xD6E8FEB86659FD93))
+        return _closed((total[hi] - total[lo]) * down[lo], hi - lo)
+
+
+def _long_hash(values: np.ndarray, lo: int, hi: int, table: np.ndarray | None) -> np.uint64:
+    total = np.zeros(1, np.uint64)
+    with np.errstate(over="ignore"):
+        for at in range(lo, hi, PIECE):
+            part = values[at : min(at + PIECE, hi)]
+            part = part if table is None else table[part]
+            total += (part * powers(len(part))[0]).sum(dtype=np.uint64) * U64(pow(BASE, at - lo, 2**64))
+    return _closed(total, np.array([hi - lo]))[0]
+
+
+def _closed(sums: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    with np.errstate(over="ignore"):
+        return mix(sums + lengths.astype(np.uint64) * U64(0xD6E8FEB86659FD93))
+
+
+def word_hashes(data: np.ndarray, lo: np.ndarray, hi: np.ndarray, table: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of the bytes of each word, through ``table``.
+
+    Polynomials modulo 2**64 can be made to collide by words of two thousand bytes and more
+    (Thue and Morse's sequence), so a long word is hashed by BLAKE2b.
+    """
+    out = span_hashes(data, lo, hi, table)
+    for i in np.flatnonzero(hi - lo > LONG_WORD).tolist():
+        digest = hashlib.blake2b(digest_size=8)
+        for at in range(int(lo[i]), int(hi[i]), PIECE):
+            digest.update(table[data[at : min(at + PIECE, int(hi[i]))]].tobytes())
+        out[i] = int.from_bytes(digest.digest(), "little")
+    return out
 
 
 def word_spans(data: np.ndarray, offsets: np.ndarray, stops: np.ndarray = SPACES) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

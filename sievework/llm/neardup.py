@@ -1,38 +1,38 @@
 """Near-duplicate documents by Order MinHash and banded alignment.
 
-A document is its sequence of lower-cased words. Its two-word shingles are labelled with their
+A document is its sequence of lower-cased words. Its five-word shingles are labelled with their
 occurrence (the second use of a shingle differs from the first). Each of ``SKETCHES`` hash
 functions picks the ``PICKS`` least labelled shingles and keeps them in text order: two documents
 share that key with a probability that follows their edit similarity, order included.
 
 Short texts have too few shingles for that. Where the longer of two texts has up to ``SHORT``
-words, d edits spoil at most 2d shingles of either, so their 2d + 1 least shingles of one seeded
-order have one in common: these shingles are their keys, and no such pair is lost.
+words, d edits spoil at most 2d word pairs of either, so their 2d + 1 least labelled word pairs
+of one seeded order have one in common: these are their keys, and no such pair is lost.
 
-Equal word sequences first become one class, so copies meet as one row. Classes that share a key
-are candidates. They are verified by banded alignment: two texts are alike if at most
-1 - ``SIMILARITY`` of the longer one's words must be edited. Connected texts form a group,
-labelled by its least doc_id.
+Equal word sequences (by 128 bits of BLAKE2b) first become one class, so copies meet as one row.
+Classes that share a key are candidates. They are verified by banded alignment: two texts are
+alike if at most 1 - ``SIMILARITY`` of the longer one's words must be edited. Connected texts
+form a group, labelled by its least doc_id.
 
 A bucket's pairs are not all aligned, yet no link between groups is lost. A lower bound of the
-edit distance (lengths, and counts of words in 64 bins) rules pairs out exactly. First round:
-each member is paired with the nearest leader that the bound leaves possible, or else becomes a
-leader; that is about one pair a member, and whoever may be like another is in one. Second round: in buckets whose paired members are not yet one
-group, every pair across groups that the bound leaves possible is aligned. A pair inside a
-group needs no alignment: it cannot change the groups. To spare alignments, the second round
-counts words in 512 bins and first tries, for each member and each other group of a bucket, the
-nearest member only. Where that one is not alike, the third round aligns the member with all
-others of that group that the bound leaves, nearest first, until one is alike; it does so inside
-the bucket, in the first bucket that the two share, and passes on links and not pairs.
+edit distance (lengths, and counts of words in bins) rules pairs out exactly. First round: each
+member of a bucket is paired with the bucket's least class, which takes a partial minimum and
+one narrow join, so a bucket of any size is one pair a member. Where the members of a bucket are
+then one group, it is done: a pair inside a group cannot change the groups. Further rounds take
+the buckets that are left (of those with the same members, one): each member is aligned with the
+nearest members of every other group that the bound leaves possible: one of a group, then
+``NEAREST``, then all. Pairs once tried are not tried again.
 
 Defined results: null, empty and blank texts have no words and are one group; texts under four words
 are linked only when equal, which is all that 0.8 allows them; a null doc_id is no label if the
-group has another; rows with equal id and text are members like others; other columns are ignored.
-Nothing is collected but the number of changes in a round.
+group has another; rows with equal id and text are members like others; an empty table gives no
+rows; other columns are ignored, whatever their names. A text is held whole in one task, at about 40
+bytes a byte of the longest. Nothing is collected but the emptiness of rounds.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -40,28 +40,39 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..operators.components import components
 from .alignment import similar
-from .arrays import BYTE_VALUES, U64, longs, mix, pieces, span_hashes, utf8, word_spans
-from .tables import drop, release, small_batches, stored
+from .arrays import BYTE_VALUES, U64, longs, mix, pieces, span_hashes, utf8, word_hashes, word_spans
+from .tables import drop, free_names, release, small_batches, stored
 
-WORDS, SIMILARITY = 2, 0.8
-SKETCHES, PICKS = 32, 2
+WORDS, SIMILARITY = 5, 0.8
+SKETCHES, PICKS = 128, 2
 #: Least words of a text that can be like a different one, and most words of a pair that is found for certain.
-LEAST_WORDS, SHORT = 4, 24
-BINS, FINE_BINS = 64, 512
+LEAST_WORDS, SHORT = 4, 40
+#: Bins of the word counts.
+BINS = 256
 #: Members of a bucket that one task compares.
 BUCKET = 20_000
+#: Members of another group that a member is aligned with in the second of the further rounds.
+NEAREST = 16
 _NO_ID = -(2**63)
 _FOLDED = BYTE_VALUES.copy()
 _FOLDED[0x41:0x5B] = _FOLDED[0x61:0x7B]
-_SEEDS = mix(np.arange(1, SKETCHES + 1, dtype=np.uint64) * U64(0x9E3779B97F4A7C15))
+_SEEDS = mix(np.arange(1, SKETCHES + 1, dtype=np.uint64) * U64(0x9E3779B97F4A7C15)) | U64(1)
 _SHORT_SEED = U64(0xA0761D6478BD642F)
+#: Bits of a shingle's place, below the bits that order it.
+_PLACE = U64((1 << 24) - 1)
 
 
 def words_of(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """64-bit hashes of the lower-cased (A-Z) words of a batch, and len + 1 offsets by document."""
     lo, hi, per = word_spans(data, offsets)
-    return span_hashes(_FOLDED[data], lo, hi), per
+    return word_hashes(data, lo, hi, _FOLDED), per
+
+
+def identity(text: bytes) -> bytes:
+    """128 bits that equal sequences of lower-cased words share."""
+    return hashlib.blake2b(b" ".join(text.lower().split()), digest_size=16).digest()
 
 
 def labelled_shingles(words: np.ndarray, per: np.ndarray, k: int = WORDS) -> tuple[np.ndarray, np.ndarray]:
@@ -84,43 +95,42 @@ def labelled_shingles(words: np.ndarray, per: np.ndarray, k: int = WORDS) -> tup
         return np.where(again > 0, mix(shingles + again * U64(0xD1B54A32D192ED03)), shingles), offsets
 
 
-def sketches(shingles: np.ndarray, offsets: np.ndarray, picks: int = PICKS) -> np.ndarray:
-    """A row of SKETCHES keys for each document; documents without a shingle have zeros."""
+def sketches(shingles: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """A row of SKETCHES keys for each document: two least shingles of each order, in text order. Without a shingle: zeros.
+
+    An order is the product with an odd number; 24 low bits hold the place (of documents of more
+    shingles, modulo 2**24: equal texts still have equal keys).
+    """
     docs = len(offsets) - 1
     out = np.zeros((docs, SKETCHES), np.uint64)
     full = np.flatnonzero(np.diff(offsets) > 0)
     if not len(full):
         return out
     begin, size = offsets[full], np.diff(offsets)[full]
-    place = (np.arange(len(shingles)) - np.repeat(begin, size)).astype(np.uint64)
-    low = U64((1 << 24) - 1)
-    local = place & low
-    for s, seed in enumerate(_SEEDS):
-        order = (mix(shingles ^ seed) & ~low) | local
-        chosen = []
-        for _ in range(picks):
-            least = np.minimum.reduceat(order, begin)
-            chosen.append(least)
-            order = np.where(order == np.repeat(least, size), ~U64(0), order)
-        got = np.stack(chosen)
-        # A document of fewer shingles than picks repeats none: what is missing stands last.
-        at = np.sort(np.where(got == ~U64(0), U64(1 << 24), got & low), axis=0).astype(np.int64)
-        key = np.full(len(full), seed, np.uint64)
-        with np.errstate(over="ignore"):
-            for row in at:
-                there = row < size
-                value = np.where(there, shingles[np.minimum(begin + row, len(shingles) - 1)], U64(0))
-                key = mix(key * U64(0xE7037ED1A0B428DB) + value)
-        out[full, s] = key
+    place = (np.arange(len(shingles)) - np.repeat(begin, size)).astype(np.uint64) & _PLACE
+    # The low bits stay zero under multiplication.
+    high = shingles & ~_PLACE
+    order = np.empty_like(high)
+    with np.errstate(over="ignore"):
+        for s, seed in enumerate(_SEEDS):
+            np.multiply(high, seed, out=order)
+            np.add(order, place, out=order)
+            one = (np.minimum.reduceat(order, begin) & _PLACE).astype(np.int64)
+            order[begin + one] = ~U64(0)
+            two = (np.minimum.reduceat(order, begin) & _PLACE).astype(np.int64)
+            # A document of one shingle repeats it.
+            two = np.where(size > 1, two, one)
+            key = mix(seed * U64(0xE7037ED1A0B428DB) + shingles[begin + np.minimum(one, two)])
+            out[full, s] = mix(key * U64(0xE7037ED1A0B428DB) + shingles[begin + np.maximum(one, two)])
     return out
 
 
 def short_keys(shingles: np.ndarray, offsets: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Of each text of LEAST_WORDS to SHORT words the least shingles, ascending, as keys; and their number by document."""
+    """Of each text of LEAST_WORDS to SHORT words the least labelled word pairs as keys, and their number by document."""
     # A text like this one has at most n / SIMILARITY words, and no more than SHORT.
     longest = np.minimum(np.floor(n / SIMILARITY + 1e-9), SHORT)
     edits = np.floor((1 - SIMILARITY) * longest + 1e-9).astype(np.int64)
-    many = np.where((n >= LEAST_WORDS) & (n <= SHORT), np.minimum(WORDS * edits + 1, np.diff(offsets)), 0)
+    many = np.where((n >= LEAST_WORDS) & (n <= SHORT), np.minimum(2 * edits + 1, np.diff(offsets)), 0)
     owner = np.repeat(np.arange(len(n)), np.diff(offsets))
     held = many[owner] > 0
     owner, keys = owner[held], mix(shingles[held] ^ _SHORT_SEED)
@@ -132,16 +142,21 @@ def short_keys(shingles: np.ndarray, offsets: np.ndarray, n: np.ndarray) -> tupl
     return keys[np.arange(len(owner)) - first < many[owner]], many
 
 
+def _only(words: np.ndarray, per: np.ndarray, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The words of some documents; the others have none."""
+    sizes = np.diff(per)
+    return words[np.repeat(which, sizes)], np.concatenate(([0], np.cumsum(np.where(which, sizes, 0))))
+
+
 def keys_of(words: np.ndarray, per: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Candidate keys of each document (sketches, then short keys), and len + 1 offsets into them."""
     n = np.diff(per)
-    labelled = labelled_shingles(words, per)
-    short, many = short_keys(*labelled, n)
+    short, many = short_keys(*labelled_shingles(*_only(words, per, n <= SHORT), 2), n)
     # A text whose match has over SHORT words has sketches.
     long = n >= SIMILARITY * (SHORT + 1) - 1e-9
     at = np.concatenate(([0], np.cumsum(long * SKETCHES + many)))
     out = np.zeros(at[-1], np.uint64)
-    out[at[:-1][long][:, None] + np.arange(SKETCHES)] = sketches(*labelled)[long]
+    out[at[:-1][long][:, None] + np.arange(SKETCHES)] = sketches(*labelled_shingles(*_only(words, per, long)))[long]
     out[np.repeat(at[1:] - np.cumsum(many), many) + np.arange(len(short))] = short
     return out, at
 
@@ -158,35 +173,42 @@ def _binary(rows: np.ndarray) -> pa.Array:
     return pa.Array.from_buffers(pa.binary(), len(rows), [None, pa.py_buffer((np.arange(len(rows) + 1) * rows.shape[1]).astype(np.int32)), pa.py_buffer(np.ascontiguousarray(rows))])
 
 
-def _bodies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """g1, text -> g1, fine profile and the words' hashes."""
-    for batch in batches:
-        words, per = words_of(*utf8(batch.column(1)))
-        body = pa.Array.from_buffers(pa.binary(), batch.num_rows, [None, pa.py_buffer((per * 8).astype(np.int32)), pa.py_buffer(np.ascontiguousarray(words))])
-        yield pa.RecordBatch.from_arrays([batch.column(0), _binary(_profile(words, per, FINE_BINS)), body], ["g1", "bins", "words"])
-
-
 SIGNED = "id long, x long, g1 long, g2 long, n long, keys array<long>, bins binary"
 
 
 def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         data, at = utf8(batch.column(2))
-        g1, g2, n, keys, many, bins = [], [], [], [], [np.zeros(1, np.int64)], []
+        if not batch.num_rows:
+            continue
+        raw = data.tobytes()
+        names = np.frombuffer(b"".join(identity(raw[i:j]) for i, j in zip(at[:-1].tolist(), at[1:].tolist())), np.int64).reshape(-1, 2)
+        n, keys, many, bins = [], [], [np.zeros(1, np.int64)], []
         for i, j in pieces(np.diff(at), 1 << 18):
             words, per = words_of(data[at[i] : at[j]], at[i : j + 1] - at[i])
-            g1.append(span_hashes(words, per[:-1], per[1:]))
-            g2.append(span_hashes(mix(words), per[:-1], per[1:]))
             n.append(np.diff(per))
             flat, ends = keys_of(words, per)
             keys.append(flat)
             many.append(np.diff(ends))
             bins.append(_profile(words, per))
-        if not n:
-            continue
-        n = np.concatenate(n)
         lists = pa.ListArray.from_arrays(pa.array(np.cumsum(np.concatenate(many)), pa.int32()), pa.array(np.concatenate(keys).view(np.int64)))
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(np.concatenate(g1).view(np.int64)), pa.array(np.concatenate(g2).view(np.int64)), pa.array(n, pa.int64()), lists, _binary(np.concatenate(bins))], ["id", "x", "g1", "g2", "n", "keys", "bins"])
+        yield pa.RecordBatch.from_arrays(
+            [batch.column(0), batch.column(1), pa.array(names[:, 0], pa.int64()), pa.array(names[:, 1], pa.int64()), pa.array(np.concatenate(n), pa.int64()), lists, _binary(np.concatenate(bins))],
+            ["id", "x", "g1", "g2", "n", "keys", "bins"],
+        )
+
+
+def _near(least: float):
+    """Pairs (a, b, lengths, bins) -> those that the bound leaves possible."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            na, nb = longs(batch.column(2)), longs(batch.column(3))
+            ba, bb = (utf8(batch.column(k))[0].reshape(-1, BINS).astype(np.int16) for k in (4, 5))
+            bound = (np.abs(ba - bb).sum(axis=1) + np.abs(na - nb)) / 2
+            yield batch.select(["a", "b"]).filter(pa.array(bound <= (1 - least) * np.maximum(na, nb) + 1e-9))
+
+    return run
 
 
 def _bounds(wide: np.ndarray, n: np.ndarray, i: int, others) -> np.ndarray:
@@ -194,109 +216,50 @@ def _bounds(wide: np.ndarray, n: np.ndarray, i: int, others) -> np.ndarray:
     return (np.abs(wide[others] - wide[i]).sum(axis=1) + np.abs(n[others] - n[i])) / 2
 
 
-def leader_pairs(n: np.ndarray, bins: np.ndarray, least: float = SIMILARITY) -> tuple[np.ndarray, np.ndarray]:
-    """One bucket's members (sorted by n): each with the nearest leader it may be like; others become leaders.
+def nearest_pairs(n: np.ndarray, bins: np.ndarray, group: np.ndarray, most: int | None = None, least: float = SIMILARITY) -> tuple[np.ndarray, np.ndarray]:
+    """One bucket's members: each with up to ``most`` (None: all) nearest members of each other group that may be like it.
 
-    Every member that may be like any other is in a pair at least: a leader is paired with the
-    first member near it, and a new leader with the nearest member before it, leader or not.
+    A pair is met from the member of the smaller group; of equally large groups the last ranks
+    highest, so that only the group of greatest rank has no larger one.
     """
-    wide, size = bins.astype(np.int16), len(n)
-    leaders, paired, left, right = np.zeros(size, np.int64), np.zeros(size, bool), [], []
-    held = 0
-    for i in range(size):
-        allowed = (1 - least) * n[i] + 1e-9
-        # Sorted by length: this one is the longer, and members too short for it stay too short.
-        first = int(np.searchsorted(n[leaders[:held]], n[i] - allowed, "left"))
-        near = leaders[first:held]
-        bound = _bounds(wide, n, i, near)
-        near, bound = near[bound <= allowed], bound[bound <= allowed]
-        if len(near):
-            best = near[int(bound.argmin())]
-            paired[best] = True
-            for leader in (best, *near[~paired[near]]):
-                left.append(leader)
-                right.append(i)
-            paired[near] = paired[i] = True
-            continue
-        before = np.arange(int(np.searchsorted(n, n[i] - allowed, "left")), i)
-        bound = _bounds(wide, n, i, before)
-        if len(before) and bound.min() <= allowed:
-            left.append(before[int(bound.argmin())])
-            right.append(i)
-            paired[i] = True
-        leaders[held] = i
-        held += 1
-    return np.array(left, np.int64), np.array(right, np.int64)
-
-
-def _other_groups(n: np.ndarray, wide: np.ndarray, group: np.ndarray, least: float) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
-    """Of one bucket, each member outside the largest group, with the members of larger groups that may be like it, their groups and bounds."""
+    left, right = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    wide = bins.astype(np.int16)
     _, codes, sizes = np.unique(group, return_inverse=True, return_counts=True)
     rank = sizes[codes] * len(n) + codes
-    # Of equally large groups the last ranks highest: only the group of greatest rank has no larger one.
     for i in np.flatnonzero(codes != codes[rank.argmax()]):
-        # Each pair once, from the member of the smaller group.
         js = np.flatnonzero((rank > rank[i]) & (n >= least * n[i] - 1) & (n * least <= n[i] + 1))
         bound = _bounds(wide, n, i, js)
         near = bound <= (1 - least) * np.maximum(n[js], n[i]) + 1e-9
-        if near.any():
-            js, bound = js[near], bound[near]
-            by = np.lexsort((bound, codes[js]))
-            yield int(i), js[by], codes[js][by], bound[by]
-
-
-def nearest_pairs(n: np.ndarray, bins: np.ndarray, group: np.ndarray, least: float = SIMILARITY) -> tuple[np.ndarray, np.ndarray]:
-    """One bucket's members: each with the nearest in each other group that may be like it."""
-    left, right = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-    for i, js, codes, _ in _other_groups(n, bins.astype(np.int16), group, least):
-        js = js[np.unique(codes, return_index=True)[1]]
+        if not near.any():
+            continue
+        js, bound = js[near], bound[near]
+        by = np.lexsort((bound, codes[js]))
+        js = js[by]
+        if most is not None:
+            code = codes[js]
+            first = np.maximum.accumulate(np.where(np.concatenate(([True], code[1:] != code[:-1])), np.arange(len(js)), 0))
+            js = js[np.arange(len(js)) - first < most]
         left.append(np.full(len(js), i))
         right.append(js)
     return np.concatenate(left), np.concatenate(right)
 
 
-def remaining_links(n, bins, group, wanted, keys, key, words, least: float = SIMILARITY) -> list[tuple[int, int]]:
-    """One bucket's members: for each wanted one and each other group, a member that is alike, if there is one.
-
-    A pair is judged only in the bucket of the first key that the two share. Sketches stand at the
-    same place in both rows of ``keys``; short keys, after them, ascend in both.
-    """
-    out = []
-    for i, js, codes, _ in _other_groups(n, bins.astype(np.int16), group, least):
-        shared = keys[js] == keys[i]
-        if n[i] <= SHORT:
-            shared[:, SKETCHES:] = (keys[js, SKETCHES:, None] == keys[i, None, SKETCHES:]).any(axis=1)
-        here = keys[i][shared.argmax(axis=1)] == key
-        done = set()
-        for j, code in zip(js[here].tolist(), codes[here].tolist()):
-            if code not in done and (wanted[i] or wanted[j]) and similar(words(i), words(j), least) is not None:
-                done.add(code)
-                out.append((i, j))
-    return out
-
-
-def _buckets(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[tuple]:
-    """Batches sorted by (key, block, ...) -> columns of each bucket with two members or more. Holds one block and one batch.
-
-    Columns: key, block, n, g1, bins, then any: longs as arrays, others as Arrow arrays.
-    """
-    held = None
+def _buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[list[np.ndarray]]:
+    """Batches sorted by (key, block) -> n, g1, root and bins of each bucket of two members or more. Holds one block and one batch."""
+    held: list[np.ndarray] | None = None
     for batch in _with_end(batches):
-        if batch is not None:
-            held = batch if held is None else pa.Table.from_batches([held, batch]).combine_chunks().to_batches()[0]
-        if held is None or not held.num_rows:
+        if batch is not None and batch.num_rows:
+            now = [*(longs(batch.column(k)) for k in range(5)), utf8(batch.column(5))[0].reshape(-1, BINS)]
+            held = now if held is None else [np.concatenate(x) for x in zip(held, now)]
+        if held is None or not len(held[0]):
             continue
-        key, block = longs(held.column(0)), longs(held.column(1))
+        key, block = held[0], held[1]
         edge = np.concatenate(([0], np.flatnonzero((key[1:] != key[:-1]) | (block[1:] != block[:-1])) + 1, [len(key)]))
         stop = len(edge) - (1 if batch is None else 2)
-        if stop < 1:
-            continue
-        bins, _ = utf8(held.column(4))
-        rows = (longs(held.column(2)), longs(held.column(3)), bins.reshape(-1, width), *[longs(c) if pa.types.is_int64(c.type) else c for c in held.columns[5:]])
         for lo, hi in zip(edge[:stop], edge[1 : stop + 1]):
             if hi - lo > 1:
-                yield key[lo], *[x[lo:hi] if isinstance(x, np.ndarray) else x.slice(lo, hi - lo) for x in rows]
-        held = held.slice(edge[stop])
+                yield [x[lo:hi] for x in held[2:]]
+        held = [x[edge[stop] :] for x in held]
 
 
 def _with_end(batches):
@@ -312,16 +275,14 @@ def _pair_batch(pairs: list[tuple[np.ndarray, np.ndarray]]) -> list[pa.RecordBat
     return [pa.RecordBatch.from_arrays([pa.array(pair[:, 0], pa.int64()), pa.array(pair[:, 1], pa.int64())], ["a", "b"])]
 
 
-def _pairs(width: int, judge):
-    """Pairs of each bucket by ``judge`` (columns of the bucket -> two arrays of members), as ids."""
-
+def _pairs(most: int | None, least: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out, size = [], 0
-        for bucket in _buckets(batches, width):
-            i, j = judge(*bucket)
-            out.append((bucket[2][i], bucket[2][j]))
+        for n, g1, root, bins in _buckets(batches):
+            i, j = nearest_pairs(n, bins, root, most, least)
+            out.append((g1[i], g1[j]))
             size += len(i)
-            if size > 100_000:
+            if size > 200_000:
                 yield from _pair_batch(out)
                 out, size = [], 0
         yield from _pair_batch(out)
@@ -329,35 +290,6 @@ def _pairs(width: int, judge):
     return run
 
 
-def _first_round(key, n, ids, bins):
-    return leader_pairs(n, bins)
-
-
-def _second_round(key, n, ids, bins, group):
-    return nearest_pairs(n, bins, group)
-
-
-def _key_rows(n: np.ndarray, flat: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-    """A row for each member: its sketches, then its short keys. What a member lacks is like nothing in another row."""
-    lead = np.where(n >= SIMILARITY * (SHORT + 1) - 1e-9, 0, SKETCHES)
-    out = np.repeat(-1 - np.arange(len(n)), max(SKETCHES, int((lead + sizes).max()))).reshape(len(n), -1)
-    owner = np.repeat(np.arange(len(n)), sizes)
-    place = np.arange(len(flat)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-    out[owner, lead[owner] + place] = flat
-    return out
-
-
-def _third_round(least: float):
-    def judge(key, n, ids, bins, group, wanted, keys, words):
-        data, at = utf8(words)
-        hashes, at = np.frombuffer(data.tobytes(), np.uint64), at // 8
-        held = _key_rows(n, np.asarray(keys.flatten()), np.asarray(keys.value_lengths()))
-        found = remaining_links(n, bins, group, wanted, held, key, lambda i: hashes[at[i] : at[i + 1]], least)
-        return np.array([i for i, _ in found], np.int64), np.array([j for _, j in found], np.int64)
-
-    return judge
-
-
 def _verify(least: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -368,33 +300,7 @@ def _verify(least: float):
     return run
 
 
-def components(edges: DataFrame) -> DataFrame:
-    """id and root (the least id it is connected with) of every id in ``edges`` (a, b).
-
-    Alternating large-star and small-star steps: each links neighbours straight to the least one
-    seen, so long chains fold in a logarithmic number of rounds. Only the count of changed edges
-    comes to the driver.
-    """
-    spark = edges.sparkSession
-    now = stored(edges.select(F.least("a", "b").alias("u"), F.greatest("a", "b").alias("v")).where("u < v").distinct(), "edges")
-    while True:
-        both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        # Large star: neighbours above a vertex go to the least of its neighbourhood.
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("c"), F.least("u", "m").alias("m"))
-        large = both.where("v > u").join(least, F.col("u") == F.col("c")).select(F.col("v").alias("v"), F.col("m").alias("u")).where("u < v").distinct()
-        # Small star: neighbours below a vertex, and itself, go to the least of them.
-        low = large.groupBy("v").agg(F.min("u").alias("m")).select(F.col("v").alias("c"), "m")
-        joined = large.join(low, F.col("v") == F.col("c"))
-        small = joined.select(F.col("m").alias("u"), F.col("u").alias("v")).unionByName(joined.select(F.col("m").alias("u"), "v")).where("u < v").distinct()
-        after = stored(small, "edges")
-        # Settled when every vertex hangs on one root that hangs on nothing.
-        loose = after.select(F.col("u").alias("r")).distinct().join(after.select(F.col("v").alias("r")).distinct(), "r").limit(1).count()
-        many = after.groupBy("v").count().where("count > 1").limit(1).count() if not loose else 1
-        drop(now)
-        now = after
-        if not loose and not many:
-            release(spark)
-            return now.select(F.col("v").alias("id"), F.col("u").alias("root")).unionByName(now.select(F.col("u").alias("id"), F.col("u").alias("root")).distinct())
+_PAIR = "a long, b long"
 
 
 def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: float = SIMILARITY) -> DataFrame:
@@ -407,50 +313,45 @@ def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", leas
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(F.col(text_col)).alias("x"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     signed = stored(rows.mapInArrow(_sign, SIGNED), "signed")
     slim = stored(signed.select("id", "x", "g1", "g2", "n"), "slim")
+    # A class is known by its content hash, as ids may repeat or be null.
     first = F.min(F.struct(F.col("id").isNull().alias("no"), "id", "x")).alias("r")
     classes = stored(signed.groupBy("g1", "g2", "n").agg(first, F.count("*").alias("copies"), F.first("keys").alias("keys"), F.first("bins").alias("bins")), "classes")
     drop(signed)
-    # A class is known by its content hash, as ids may repeat or be null.
-    # Most keys have one member: keys meet without the bins, which then come only to those that are shared.
-    keys = classes.select("g1", F.explode("keys").alias("key")).repartition("key")
-    shared = keys.join(keys.groupBy("key").count().where("count > 1").select("key"), "key", "left_semi")
-    keyed = stored(shared.join(classes.select("g1", "n", "bins"), "g1").select("key", "n", "g1", "bins"), "keyed")
-    release(spark)
-    pairs = stored(_dealt(keyed).mapInArrow(_pairs(BINS, _first_round), _PAIR).where("a != b").distinct(), "pairs")
     release(spark)
-    # The words of one text for each class that is in a pair.
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("g1")).distinct()
-    owners = classes.join(wanted, "g1", "left_semi").select("g1", F.coalesce("r.id", F.lit(_NO_ID)).alias("k"), F.col("r.x").alias("x"))
-    texts = stored(rows.withColumn("k", F.coalesce("id", F.lit(_NO_ID))).join(owners.hint("shuffle_hash"), ["k", "x"]).select("g1", "text"), "texts")
+    # Most keys have one member: they meet as (key, class) alone, and only what is shared goes on.
+    keys = classes.select("g1", F.explode(F.array_distinct("keys")).alias("key")).repartition("key")
+    hubs = keys.groupBy("key").agg(F.min("g1").alias("hub"), F.count("*").alias("many")).where("many > 1")
+    shared = stored(keys.join(hubs, "key").select("key", "g1", "hub", "many"), "shared")
     release(spark)
-    links = stored(_alike(pairs, texts, least), "links")
-    roots = components(links)
-    # Second round: members of pairs, in buckets where they are not yet one group.
-    members = stored(keyed.select("key", "n", "g1").join(wanted, "g1", "left_semi"), "members")
-    drop(keyed)
-    bodies = stored(texts.dropDuplicates(["g1"]).mapInArrow(_bodies, "g1 long, bins binary, words binary"), "bodies")
-    now = _in_groups(members, roots)
-    split = now.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo != hi").select("key")
-    left = now.join(split, "key", "left_semi").join(bodies.select("g1", "bins"), "g1")
-    tried = _dealt(left, "root").mapInArrow(_pairs(FINE_BINS, _second_round), _PAIR).where("a != b").distinct()
-    tried = stored(tried, "tried")
-    found = stored(_alike(tried, texts, least), "found")
-    drop(texts)
+    narrow = stored(classes.select("g1", "n", "bins").join(shared.select("g1").distinct(), "g1", "left_semi"), "narrow")
+    texts = stored(_texts(rows, classes, narrow), "texts")
     release(spark)
-    roots = _folded(roots, found)
-    # Third round: members whose nearest in another group is not alike, in their buckets.
-    open_ = tried.join(found, ["a", "b"], "left_anti")
-    ends = stored(open_.select(F.explode(F.array("a", "b")).alias("g1")).distinct().withColumn("wanted", F.lit(1).cast("long")), "ends")
-    if not ends.isEmpty():
-        now = _in_groups(members, roots)
-        split = now.join(ends, "g1", "left_semi").select("key").distinct()
-        left = now.join(split, "key", "left_semi").join(ends, "g1", "left").withColumn("wanted", F.coalesce("wanted", F.lit(0).cast("long")))
-        # The words come once the members are dealt, so that they travel to their buckets in one shuffle.
-        wide = bodies.join(classes.select("g1", "keys"), "g1")
-        roots = _folded(roots, stored(_dealt(left, "root", "wanted", "keys", "words", late=wide).mapInArrow(_pairs(FINE_BINS, _third_round(least)), _PAIR).distinct(), "last"))
-    drop(bodies)
-    drop(members)
+    pairs = _possible(shared.where("g1 != hub").select(F.col("hub").alias("a"), F.col("g1").alias("b")).distinct(), narrow, least)
+    tried = stored(pairs, "tried")
+    links = stored(_alike(tried, texts, least), "links")
     release(spark)
+    roots = components(links)
+    for most in (1, NEAREST, None):
+        # Buckets whose members are in several groups; one of those that have the same members.
+        now = _in_groups(shared.select("key", "g1", "many"), roots)
+        marks = [F.bit_xor(F.xxhash64(F.lit(s), "g1")).alias(f"m{s}") for s in (0, 1)]
+        split = now.groupBy("key", "many").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), *marks).where("lo != hi")
+        split = split.groupBy("m0", "m1", "many").agg(F.min("key").alias("key")).select("key")
+        left = stored(now.join(split, "key").join(narrow, "g1").select("key", "n", "g1", "root", "bins"), "left")
+        found = _dealt(left).mapInArrow(_pairs(most, least), _PAIR).where("a != b").distinct().join(tried, ["a", "b"], "left_anti")
+        more = stored(found, "more")
+        drop(left)
+        release(spark)
+        if more.isEmpty():
+            drop(more)
+            # Nothing within the first places is new; the next round looks further.
+            continue
+        roots = _folded(roots, stored(_alike(more, texts, least), "found"))
+        tried = stored(tried.unionByName(more), "tried")
+        drop(more)
+        release(spark)
+    for used in (texts, shared, narrow, tried):
+        drop(used)
     named = classes.select("g1", "g2", "n", F.col("r.id").alias("class_id"), "copies").join(roots.select(F.col("id").alias("g1"), "root"), "g1", "left")
     named = named.withColumn("root", F.coalesce("root", "g1"))
     sums = named.groupBy("root").agg(F.min("class_id").alias("group_id"), F.sum("copies").alias("group_size"))
@@ -459,7 +360,19 @@ def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", leas
     return out.select(F.col("id").alias("doc_id"), F.col("x").alias("text_hash"), F.col("n").alias("n_words"), "class_id", "group_id", "group_size", F.col("root").alias("group_hash"))
 
 
-_PAIR = "a long, b long"
+def _texts(rows: DataFrame, classes: DataFrame, wanted: DataFrame) -> DataFrame:
+    """g1 and one text of each wanted class."""
+    owners = classes.join(wanted, "g1", "left_semi").select("g1", F.coalesce("r.id", F.lit(_NO_ID)).alias("k"), F.col("r.x").alias("x"))
+    found = rows.withColumn("k", F.coalesce("id", F.lit(_NO_ID))).join(owners, ["k", "x"])
+    # A row repeated with its id and text gives its text once.
+    return found.withColumn("i", F.row_number().over(Window.partitionBy("k", "x").orderBy("k"))).where("i = 1").select("g1", "text")
+
+
+def _possible(pairs: DataFrame, narrow: DataFrame, least: float) -> DataFrame:
+    """The pairs that the bound leaves possible."""
+    with_a = pairs.join(narrow.select(F.col("g1").alias("a"), F.col("n").alias("na"), F.col("bins").alias("ba")), "a")
+    with_b = with_a.join(narrow.select(F.col("g1").alias("b"), F.col("n").alias("nb"), F.col("bins").alias("bb")), "b")
+    return with_b.select("a", "b", "na", "nb", "ba", "bb").mapInArrow(_near(least), _PAIR)
 
 
 def _in_groups(members: DataFrame, roots: DataFrame) -> DataFrame:
@@ -479,14 +392,11 @@ def _folded(roots: DataFrame, links: DataFrame) -> DataFrame:
     return stored(every.join(over, F.col("root") == F.col("k"), "left").select("id", F.coalesce("r", "root").alias("root")), "roots")
 
 
-def _dealt(members: DataFrame, *more: str, late: DataFrame | None = None) -> DataFrame:
-    """Members (key, n, g1, bins; what they lack comes from ``late`` by g1) by bucket; a bucket of more than BUCKET is cut into parts, and every two parts meet in a block of their own."""
+def _dealt(members: DataFrame) -> DataFrame:
+    """Members (key, n, g1, root, bins) by bucket; a bucket of more than BUCKET is cut into parts, and every two parts meet in a block of their own."""
     large = members.groupBy("key").agg(F.ceil(F.count("*") / BUCKET).cast("int").alias("parts")).where("parts > 1")
-    blocks = F.expr("case when parts is null then array(0) else transform(sequence(0, parts - 1), j -> cast(least(j, pmod(g1, parts)) * parts + greatest(j, pmod(g1, parts)) as int)) end")
-    dealt = members.join(large, "key", "left").withColumn("block", F.explode(blocks))
-    if late is not None:
-        dealt = dealt.join(late, "g1")
-    dealt = dealt.select("key", "block", "n", "g1", "bins", *more)
+    blocks = F.expr("case when parts is null then array(0L) else transform(sequence(0, parts - 1), j -> cast(least(j, pmod(g1, parts)) * parts + greatest(j, pmod(g1, parts)) as bigint)) end")
+    dealt = members.join(large, "key", "left").withColumn("block", F.explode(blocks)).select("key", "block", "n", "g1", "root", "bins")
     return dealt.repartition("key", "block").sortWithinPartitions("key", "block", "n", "g1")
 
 
@@ -494,16 +404,17 @@ def _alike(pairs: DataFrame, texts: DataFrame, least: float) -> DataFrame:
     """The pairs whose texts are alike."""
     with_a = pairs.join(texts.select(F.col("g1").alias("a"), F.col("text").alias("ta")), "a")
     with_b = with_a.join(texts.select(F.col("g1").alias("b"), F.col("text").alias("tb")), "b")
-    return with_b.select("a", "b", "ta", "tb").mapInArrow(_verify(least), _PAIR).distinct()
+    return with_b.select("a", "b", "ta", "tb").mapInArrow(_verify(least), _PAIR)
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: float = SIMILARITY) -> DataFrame:
     """``docs`` with one row of each group, the one of least id; columns unchanged."""
     found = groups(docs, id_col, text_col, least)
+    k, x, r = free_names(docs.columns, "_sw_k", "_sw_x", "_sw_r")
     best = found.groupBy("group_hash").agg(F.min(F.struct(F.col("doc_id").isNull().alias("no"), "doc_id", "text_hash")).alias("r"))
-    best = best.select(F.coalesce("r.doc_id", F.lit(_NO_ID)).alias("_sw_k"), F.col("r.text_hash").alias("_sw_x"))
-    keyed = docs.select("*", F.coalesce(F.col(id_col).cast("long"), F.lit(_NO_ID)).alias("_sw_k"), F.xxhash64(F.col(text_col)).alias("_sw_x"))
-    kept = keyed.join(best.hint("shuffle_hash"), ["_sw_k", "_sw_x"], "left_semi")
+    best = best.select(F.coalesce("r.doc_id", F.lit(_NO_ID)).alias(k), F.col("r.text_hash").alias(x))
+    keyed = docs.select("*", F.coalesce(F.col(id_col).cast("long"), F.lit(_NO_ID)).alias(k), F.xxhash64(F.col(text_col)).alias(x))
+    kept = keyed.join(best, [k, x], "left_semi")
     # A row repeated with its id and text is kept once.
-    alone = kept.withColumn("_sw_r", F.row_number().over(Window.partitionBy("_sw_k", "_sw_x").orderBy("_sw_k"))).where("_sw_r = 1")
+    alone = kept.withColumn(r, F.row_number().over(Window.partitionBy(k, x).orderBy(k))).where(F.col(r) == 1)
     return alone.select(*docs.columns)

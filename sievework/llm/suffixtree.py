@@ -26,7 +26,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .arrays import BYTE_VALUES, mix, span_hashes, utf8, word_spans
+from .arrays import BYTE_VALUES, mix, utf8, word_hashes, word_spans
 from .repeats import Units, covered, repeated_starts, with_spans
 
 WINDOW, GRAM = 20, 5
@@ -36,7 +36,7 @@ GROUP = 1 << 16
 
 def split_words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     lo, hi, per = word_spans(data, offsets)
-    return span_hashes(BYTE_VALUES[data], lo, hi), per
+    return word_hashes(data, lo, hi, BYTE_VALUES), per
 
 
 def prefix_groups(codes: np.ndarray, starts: np.ndarray, most: int, limit: int = GROUP) -> Iterator[tuple[int, np.ndarray]]:

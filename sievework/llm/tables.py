@@ -1,53 +1,31 @@
-"""Intermediate tables in the folder that the whole cluster shares."""
+"""Intermediate tables (the library's) and the size of the batches that Python workers get."""
 
 from __future__ import annotations
 
-import gc
-import uuid
+from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
-#: Bytes of one Arrow batch handed to a Python worker: bounds a worker's memory whatever the rows' lengths.
-ARROW_BYTES = 4 << 20
+from ..plans.shared import drop, release, shared_dir, stored
 
+__all__ = ["drop", "free_names", "release", "shared_dir", "small_batches", "stored"]
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder of ``spark.checkpoint.dir``; one under the warehouse where that is unset (tests)."""
-    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    return (found or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_shared").rstrip("/")
+#: Bytes of one Arrow batch handed to a Python worker: bounds a worker's memory whatever the rows' lengths.
+ARROW_BYTES = 4 << 20
 
 
 def small_batches(spark: SparkSession) -> None:
+    """Bound the session's Arrow batches in bytes (plans read the setting when they run, so it stays)."""
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BYTES))
 
 
-def _delete(spark: SparkSession, path: str) -> None:
-    jvm = spark.sparkContext._jvm
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
-
-
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as Parquet in the shared folder and read it back.
-
-    The lineage is cut and lost executors cannot lose the rows. Shuffle files of the job that
-    made the table are released as soon as the driver no longer refers to it.
-    """
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/sievework-{uuid.uuid4().hex}/{name}"
-    df.write.parquet(path)
-    out = spark.read.schema(df.schema).parquet(path)
-    out._sievework_path = path
+def free_names(columns: Iterable[str], *wanted: str) -> list[str]:
+    """The wanted column names, each lengthened until no column of the input has it (names ignore case)."""
+    taken = {c.lower() for c in columns}
+    out = []
+    for name in wanted:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
     return out
-
-
-def release(spark: SparkSession) -> None:
-    """Let the context cleaner remove the shuffle files of jobs that are over."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
-
-
-def drop(df: DataFrame) -> None:
-    """Delete a table made by :func:`stored` that no later plan reads."""
-    if path := getattr(df, "_sievework_path", None):
-        _delete(df.sparkSession, path)
