@@ -18,10 +18,12 @@ A bucket's pairs are not all aligned, yet no link between groups is lost. A lowe
 edit distance (lengths, and counts of words in bins) rules pairs out exactly. First round: each
 member of a bucket is paired with the bucket's least class, which takes a partial minimum and
 one narrow join, so a bucket of any size is one pair a member. Where the members of a bucket are
-then one group, it is done: a pair inside a group cannot change the groups. Further rounds take
-the buckets that are left (of those with the same members, one): each member is aligned with the
-nearest members of every other group that the bound leaves possible: one of a group, then
-``NEAREST``, then all. Pairs once tried are not tried again.
+then one group, it is done: a pair inside a group cannot change the groups. Second round: of the
+buckets that are left (of those with the same members, one) every pair across groups that the
+bound leaves possible is judged, in one bucket of those that the two share, chosen by the pair.
+First only profiles are dealt, and then the texts of members that are in such a pair; alignment
+runs inside the bucket, nearest first, and members that it links are one group from there on. So
+what travels grows with members, not with pairs, and only links come out.
 
 Defined results: null, empty and blank texts have no words and are one group; texts under four words
 are linked only when equal, which is all that 0.8 allows them; a null doc_id is no label if the
@@ -34,6 +36,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -49,12 +52,11 @@ WORDS, SIMILARITY = 5, 0.8
 SKETCHES, PICKS = 128, 2
 #: Least words of a text that can be like a different one, and most words of a pair that is found for certain.
 LEAST_WORDS, SHORT = 4, 40
-#: Bins of the word counts.
-BINS = 256
-#: Members of a bucket that one task compares.
-BUCKET = 20_000
-#: Members of another group that a member is aligned with in the second of the further rounds.
-NEAREST = 16
+#: Bins of the counts of words, and of word pairs.
+BINS, PAIR_BINS = 256, 512
+WIDTH = BINS + PAIR_BINS
+#: Members of a bucket, and their words, that one task compares.
+BUCKET, BUCKET_WORDS = 20_000, 8_000_000
 _NO_ID = -(2**63)
 _FOLDED = BYTE_VALUES.copy()
 _FOLDED[0x41:0x5B] = _FOLDED[0x61:0x7B]
@@ -161,19 +163,28 @@ def keys_of(words: np.ndarray, per: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return out, at
 
 
-def _profile(words: np.ndarray, per: np.ndarray, bins: int = BINS) -> np.ndarray:
-    """Counts of words in bins, at most 255 each, for each document."""
+def _counts(values: np.ndarray, per: np.ndarray, bins: int) -> np.ndarray:
     docs = len(per) - 1
-    cell = np.repeat(np.arange(docs), np.diff(per)) * bins + (words >> U64(64 - bins.bit_length() + 1)).astype(np.int64)
+    cell = np.repeat(np.arange(docs), np.diff(per)) * bins + (values >> U64(64 - bins.bit_length() + 1)).astype(np.int64)
     return np.minimum(np.bincount(cell, minlength=docs * bins), 255).astype(np.uint8).reshape(docs, bins)
 
 
+def profiles(words: np.ndarray, per: np.ndarray) -> np.ndarray:
+    """Counts of words and of word pairs in bins, at most 255 each: a row of WIDTH for each document."""
+    with np.errstate(over="ignore"):
+        pairs = mix(words[:-1] * U64(0x9E3779B97F4A7C15) + words[1:]) if len(words) > 1 else words[:0]
+    inner = np.ones(len(pairs), bool)
+    edge = per[1:-1]
+    inner[edge[(edge > 0) & (edge < len(words))] - 1] = False
+    return np.hstack([_counts(words, per, BINS), _counts(pairs[inner], np.concatenate(([0], np.cumsum(np.maximum(np.diff(per) - 1, 0)))), PAIR_BINS)])
+
+
 def _binary(rows: np.ndarray) -> pa.Array:
     """A row of bytes for each document as a binary column."""
     return pa.Array.from_buffers(pa.binary(), len(rows), [None, pa.py_buffer((np.arange(len(rows) + 1) * rows.shape[1]).astype(np.int32)), pa.py_buffer(np.ascontiguousarray(rows))])
 
 
-SIGNED = "id long, x long, g1 long, g2 long, n long, keys array<long>, bins binary"
+SIGNED = "id long, x long, g1 long, g2 long, n long, keys array<long>"
 
 
 def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -183,73 +194,143 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             continue
         raw = data.tobytes()
         names = np.frombuffer(b"".join(identity(raw[i:j]) for i, j in zip(at[:-1].tolist(), at[1:].tolist())), np.int64).reshape(-1, 2)
-        n, keys, many, bins = [], [], [np.zeros(1, np.int64)], []
+        n, keys, many = [], [], [np.zeros(1, np.int64)]
         for i, j in pieces(np.diff(at), 1 << 18):
             words, per = words_of(data[at[i] : at[j]], at[i : j + 1] - at[i])
             n.append(np.diff(per))
             flat, ends = keys_of(words, per)
             keys.append(flat)
             many.append(np.diff(ends))
-            bins.append(_profile(words, per))
         lists = pa.ListArray.from_arrays(pa.array(np.cumsum(np.concatenate(many)), pa.int32()), pa.array(np.concatenate(keys).view(np.int64)))
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0), batch.column(1), pa.array(names[:, 0], pa.int64()), pa.array(names[:, 1], pa.int64()), pa.array(np.concatenate(n), pa.int64()), lists, _binary(np.concatenate(bins))],
-            ["id", "x", "g1", "g2", "n", "keys", "bins"],
+            [batch.column(0), batch.column(1), pa.array(names[:, 0], pa.int64()), pa.array(names[:, 1], pa.int64()), pa.array(np.concatenate(n), pa.int64()), lists],
+            ["id", "x", "g1", "g2", "n", "keys"],
         )
 
 
+def _profiled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """g1, text -> g1, number of words and profile."""
+    for batch in batches:
+        data, at = utf8(batch.column(1))
+        n, bins = [np.zeros(0, np.int64)], [np.zeros((0, WIDTH), np.uint8)]
+        for i, j in pieces(np.diff(at), 1 << 18):
+            words, per = words_of(data[at[i] : at[j]], at[i : j + 1] - at[i])
+            n.append(np.diff(per))
+            bins.append(profiles(words, per))
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.concatenate(n), pa.int64()), _binary(np.concatenate(bins))], ["g1", "n", "bins"])
+
+
+def _bounds(one: np.ndarray, many: np.ndarray, n: np.ndarray, other: np.ndarray) -> np.ndarray:
+    """At least so many edits lie between texts of these profiles and lengths (broadcast).
+
+    An edit moves the word bins and the length by two together, the pair bins and the length by four.
+    """
+    length = np.abs(n - other)
+    words = np.abs(many[:, :BINS] - one[..., :BINS]).sum(axis=1)
+    pairs = np.abs(many[:, BINS:] - one[..., BINS:]).sum(axis=1)
+    return np.maximum((words + length) / 2, (pairs + length) / 4)
+
+
 def _near(least: float):
     """Pairs (a, b, lengths, bins) -> those that the bound leaves possible."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             na, nb = longs(batch.column(2)), longs(batch.column(3))
-            ba, bb = (utf8(batch.column(k))[0].reshape(-1, BINS).astype(np.int16) for k in (4, 5))
-            bound = (np.abs(ba - bb).sum(axis=1) + np.abs(na - nb)) / 2
-            yield batch.select(["a", "b"]).filter(pa.array(bound <= (1 - least) * np.maximum(na, nb) + 1e-9))
+            ba, bb = (utf8(batch.column(k))[0].reshape(-1, WIDTH).astype(np.int16) for k in (4, 5))
+            yield batch.select(["a", "b"]).filter(pa.array(_bounds(ba, bb, na, nb) <= (1 - least) * np.maximum(na, nb) + 1e-9))
 
     return run
 
 
-def _bounds(wide: np.ndarray, n: np.ndarray, i: int, others) -> np.ndarray:
-    """At least so many edits lie between i and each of the others: an edit moves the bins and the length by two together."""
-    return (np.abs(wide[others] - wide[i]).sum(axis=1) + np.abs(n[others] - n[i])) / 2
+@dataclass
+class Bucket:
+    """One block of a bucket's members."""
+
+    key: int
+    #: The block's two parts, and the number of parts, that the bucket is cut into.
+    block: int
+    parts: int
+    n: np.ndarray
+    g1: np.ndarray
+    group: np.ndarray
+    bins: np.ndarray
+    #: The keys of all open buckets each member is in; and its text, where alignment is at hand.
+    keys: list[np.ndarray]
+    texts: list[bytes]
 
 
-def nearest_pairs(n: np.ndarray, bins: np.ndarray, group: np.ndarray, most: int | None = None, least: float = SIMILARITY) -> tuple[np.ndarray, np.ndarray]:
-    """One bucket's members: each with up to ``most`` (None: all) nearest members of each other group that may be like it.
+def candidates(b: Bucket, least: float = SIMILARITY) -> Iterator[tuple[int, np.ndarray]]:
+    """Each member with those of other groups that may be like it and are judged here, nearest first.
 
-    A pair is met from the member of the smaller group; of equally large groups the last ranks
-    highest, so that only the group of greatest rank has no larger one.
+    A pair is met once: from the member of the smaller group (of equally large groups the last
+    ranks highest, so that only the group of greatest rank has no larger one), in the block of
+    their parts, in the bucket of the least of their shared keys in an order of the pair's own.
     """
-    left, right = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-    wide = bins.astype(np.int16)
-    _, codes, sizes = np.unique(group, return_inverse=True, return_counts=True)
+    wide, n = b.bins.astype(np.int16), b.n
+    _, codes, sizes = np.unique(b.group, return_inverse=True, return_counts=True)
     rank = sizes[codes] * len(n) + codes
+    many = np.array([len(k) for k in b.keys])
+    held = np.arange(max(1, many.max())) < many[:, None]
+    keys = np.zeros(held.shape, np.int64)
+    keys[held] = np.concatenate(b.keys)
+    part = b.g1 % b.parts
+    apart = b.block // b.parts != b.block % b.parts
     for i in np.flatnonzero(codes != codes[rank.argmax()]):
         js = np.flatnonzero((rank > rank[i]) & (n >= least * n[i] - 1) & (n * least <= n[i] + 1))
-        bound = _bounds(wide, n, i, js)
-        near = bound <= (1 - least) * np.maximum(n[js], n[i]) + 1e-9
-        if not near.any():
+        if apart:
+            js = js[part[js] != part[i]]
+        if not len(js):
             continue
+        bound = _bounds(wide[i], wide[js], n[i], n[js])
+        near = bound <= (1 - least) * np.maximum(n[js], n[i]) + 1e-9
         js, bound = js[near], bound[near]
-        by = np.lexsort((bound, codes[js]))
-        js = js[by]
-        if most is not None:
-            code = codes[js]
-            first = np.maximum.accumulate(np.where(np.concatenate(([True], code[1:] != code[:-1])), np.arange(len(js)), 0))
-            js = js[np.arange(len(js)) - first < most]
-        left.append(np.full(len(js), i))
-        right.append(js)
-    return np.concatenate(left), np.concatenate(right)
-
-
-def _buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[list[np.ndarray]]:
-    """Batches sorted by (key, block) -> n, g1, root and bins of each bucket of two members or more. Holds one block and one batch."""
+        if not len(js):
+            continue
+        order = mix((keys[js] ^ mix((b.g1[js] ^ b.g1[i]).view(np.uint64)).view(np.int64)[:, None]).view(np.uint64))
+        order[~(held[js] & np.isin(keys[js], b.keys[i]))] = ~U64(0)
+        here = keys[js, order.argmin(axis=1)] == b.key
+        if here.any():
+            yield int(i), js[here][np.argsort(bound[here], kind="stable")]
+
+
+def links_of(b: Bucket, least: float = SIMILARITY) -> list[tuple[int, int]]:
+    """Pairs that are alike, enough to join every two groups of the bucket that an alike pair judged here links."""
+    root = {int(g): int(g) for g in b.group}
+    words: dict[int, np.ndarray] = {}
+
+    def find(g: int) -> int:
+        while root[g] != g:
+            root[g] = g = root[root[g]]
+        return g
+
+    def hashed(i: int) -> np.ndarray:
+        if i not in words:
+            words[i] = words_of(np.frombuffer(b.texts[i], np.uint8), np.array([0, len(b.texts[i])]))[0]
+        return words[i]
+
+    out = []
+    for i, js in candidates(b, least):
+        for j in js.tolist():
+            one, two = find(int(b.group[i])), find(int(b.group[j]))
+            if one != two and similar(hashed(i), hashed(j), least) is not None:
+                root[one] = two
+                out.append((i, j))
+    return out
+
+
+def _buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[Bucket]:
+    """Batches sorted by (key, block) -> blocks of two members or more. Holds one block and one batch."""
     held: list[np.ndarray] | None = None
     for batch in _with_end(batches):
         if batch is not None and batch.num_rows:
-            now = [*(longs(batch.column(k)) for k in range(5)), utf8(batch.column(5))[0].reshape(-1, BINS)]
+            lists, texts = np.empty(batch.num_rows, object), np.empty(batch.num_rows, object)
+            flat, at = longs(batch.column(7).flatten()), np.concatenate(([0], np.cumsum(np.asarray(batch.column(7).value_lengths()))))
+            lists[:] = [flat[i:j] for i, j in zip(at[:-1], at[1:])]
+            if batch.num_columns > 8:
+                data, at = utf8(batch.column(8))
+                texts[:] = [data[i:j].tobytes() for i, j in zip(at[:-1], at[1:])]
+            now = [*(longs(batch.column(k)) for k in range(6)), utf8(batch.column(6))[0].reshape(-1, WIDTH), lists, texts]
             held = now if held is None else [np.concatenate(x) for x in zip(held, now)]
         if held is None or not len(held[0]):
             continue
@@ -258,7 +339,7 @@ def _buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[list[np.ndarray]]:
         stop = len(edge) - (1 if batch is None else 2)
         for lo, hi in zip(edge[:stop], edge[1 : stop + 1]):
             if hi - lo > 1:
-                yield [x[lo:hi] for x in held[2:]]
+                yield Bucket(int(key[lo]), int(block[lo]), int(held[2][lo]), *[x[lo:hi] for x in held[3:7]], list(held[7][lo:hi]), list(held[8][lo:hi]))
         held = [x[edge[stop] :] for x in held]
 
 
@@ -267,25 +348,33 @@ def _with_end(batches):
     yield None
 
 
-def _pair_batch(pairs: list[tuple[np.ndarray, np.ndarray]]) -> list[pa.RecordBatch]:
-    if not pairs:
-        return []
-    x, y = (np.concatenate(v) for v in zip(*pairs))
-    pair = np.unique(np.stack([np.minimum(x, y), np.maximum(x, y)], axis=1), axis=0)
-    return [pa.RecordBatch.from_arrays([pa.array(pair[:, 0], pa.int64()), pa.array(pair[:, 1], pa.int64())], ["a", "b"])]
+def _longs_batch(names: list[str], *columns) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names)
+
+
+def _active(least: float):
+    """Blocks -> the members that are in a pair to be judged there."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in _buckets(batches):
+            met = np.zeros(len(b.n), bool)
+            for i, js in candidates(b, least):
+                met[i] = met[js] = True
+            if met.any():
+                size = int(met.sum())
+                yield _longs_batch(["key", "block", "parts", "g1"], np.full(size, b.key), np.full(size, b.block), np.full(size, b.parts), b.g1[met])
+
+    return run
+
 
+def _judged(least: float):
+    """Blocks with texts -> links."""
 
-def _pairs(most: int | None, least: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        out, size = [], 0
-        for n, g1, root, bins in _buckets(batches):
-            i, j = nearest_pairs(n, bins, root, most, least)
-            out.append((g1[i], g1[j]))
-            size += len(i)
-            if size > 200_000:
-                yield from _pair_batch(out)
-                out, size = [], 0
-        yield from _pair_batch(out)
+        for b in _buckets(batches):
+            found = links_of(b, least)
+            if found:
+                yield _longs_batch(["a", "b"], [b.g1[i] for i, _ in found], [b.g1[j] for _, j in found])
 
     return run
 
@@ -315,7 +404,7 @@ def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", leas
     slim = stored(signed.select("id", "x", "g1", "g2", "n"), "slim")
     # A class is known by its content hash, as ids may repeat or be null.
     first = F.min(F.struct(F.col("id").isNull().alias("no"), "id", "x")).alias("r")
-    classes = stored(signed.groupBy("g1", "g2", "n").agg(first, F.count("*").alias("copies"), F.first("keys").alias("keys"), F.first("bins").alias("bins")), "classes")
+    classes = stored(signed.groupBy("g1", "g2", "n").agg(first, F.count("*").alias("copies"), F.first("keys").alias("keys")), "classes")
     drop(signed)
     release(spark)
     # Most keys have one member: they meet as (key, class) alone, and only what is shared goes on.
@@ -323,35 +412,32 @@ def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", leas
     hubs = keys.groupBy("key").agg(F.min("g1").alias("hub"), F.count("*").alias("many")).where("many > 1")
     shared = stored(keys.join(hubs, "key").select("key", "g1", "hub", "many"), "shared")
     release(spark)
-    narrow = stored(classes.select("g1", "n", "bins").join(shared.select("g1").distinct(), "g1", "left_semi"), "narrow")
-    texts = stored(_texts(rows, classes, narrow), "texts")
+    texts = stored(_texts(rows, classes, shared.select("g1").distinct()), "texts")
+    narrow = stored(texts.mapInArrow(_profiled, "g1 long, n long, bins binary"), "narrow")
     release(spark)
-    pairs = _possible(shared.where("g1 != hub").select(F.col("hub").alias("a"), F.col("g1").alias("b")).distinct(), narrow, least)
-    tried = stored(pairs, "tried")
-    links = stored(_alike(tried, texts, least), "links")
+    pairs = stored(_possible(shared.where("g1 != hub").select(F.col("hub").alias("a"), F.col("g1").alias("b")).distinct(), narrow, least), "pairs")
+    roots = components(stored(_alike(pairs, texts, least), "links"))
     release(spark)
-    roots = components(links)
-    for most in (1, NEAREST, None):
-        # Buckets whose members are in several groups; one of those that have the same members.
-        now = _in_groups(shared.select("key", "g1", "many"), roots)
-        marks = [F.bit_xor(F.xxhash64(F.lit(s), "g1")).alias(f"m{s}") for s in (0, 1)]
-        split = now.groupBy("key", "many").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), *marks).where("lo != hi")
-        split = split.groupBy("m0", "m1", "many").agg(F.min("key").alias("key")).select("key")
-        left = stored(now.join(split, "key").join(narrow, "g1").select("key", "n", "g1", "root", "bins"), "left")
-        found = _dealt(left).mapInArrow(_pairs(most, least), _PAIR).where("a != b").distinct().join(tried, ["a", "b"], "left_anti")
-        more = stored(found, "more")
-        drop(left)
+    # Second round: buckets whose members are in several groups; one of those that have the same members.
+    named = narrow.select("g1", "n").join(roots.select(F.col("id").alias("g1"), "root"), "g1", "left").withColumn("root", F.coalesce("root", "g1"))
+    now = stored(shared.select("key", "g1", "many").join(named, "g1"), "now")
+    marks = [F.bit_xor(F.xxhash64(F.lit(s), "g1")).alias(f"m{s}") for s in (0, 1)]
+    split = now.groupBy("key", "many").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), *marks).where("lo != hi")
+    split = split.groupBy("m0", "m1", "many").agg(F.min("key").alias("key")).select("key")
+    open_ = stored(now.join(split, "key").select("key", "g1", "n", "root"), "open")
+    drop(now)
+    if not open_.isEmpty():
+        facts = open_.groupBy("g1", "n", "root").agg(F.collect_set("key").alias("keys")).join(narrow.select("g1", "bins"), "g1")
+        facts = stored(facts, "facts")
+        active = stored(_sorted(_dealt(open_.select("key", "g1", "n"), facts.drop("n"))).mapInArrow(_active(least), "key long, block long, parts long, g1 long"), "active")
         release(spark)
-        if more.isEmpty():
-            drop(more)
-            # Nothing within the first places is new; the next round looks further.
-            continue
-        roots = _folded(roots, stored(_alike(more, texts, least), "found"))
-        tried = stored(tried.unionByName(more), "tried")
-        drop(more)
-        release(spark)
-    for used in (texts, shared, narrow, tried):
+        members = active.join(facts.hint("merge"), "g1").join(texts.hint("merge"), "g1").select(*_MEMBER, "text")
+        roots = _folded(roots, stored(_sorted(members).mapInArrow(_judged(least), _PAIR), "found"))
+        for used in (facts, active):
+            drop(used)
+    for used in (texts, shared, narrow, pairs, open_):
         drop(used)
+    release(spark)
     named = classes.select("g1", "g2", "n", F.col("r.id").alias("class_id"), "copies").join(roots.select(F.col("id").alias("g1"), "root"), "g1", "left")
     named = named.withColumn("root", F.coalesce("root", "g1"))
     sums = named.groupBy("root").agg(F.min("class_id").alias("group_id"), F.sum("copies").alias("group_size"))
@@ -363,22 +449,18 @@ def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", leas
 def _texts(rows: DataFrame, classes: DataFrame, wanted: DataFrame) -> DataFrame:
     """g1 and one text of each wanted class."""
     owners = classes.join(wanted, "g1", "left_semi").select("g1", F.coalesce("r.id", F.lit(_NO_ID)).alias("k"), F.col("r.x").alias("x"))
-    found = rows.withColumn("k", F.coalesce("id", F.lit(_NO_ID))).join(owners, ["k", "x"])
+    found = rows.withColumn("k", F.coalesce("id", F.lit(_NO_ID))).join(owners.hint("merge"), ["k", "x"])
     # A row repeated with its id and text gives its text once.
     return found.withColumn("i", F.row_number().over(Window.partitionBy("k", "x").orderBy("k"))).where("i = 1").select("g1", "text")
 
 
 def _possible(pairs: DataFrame, narrow: DataFrame, least: float) -> DataFrame:
     """The pairs that the bound leaves possible."""
-    with_a = pairs.join(narrow.select(F.col("g1").alias("a"), F.col("n").alias("na"), F.col("bins").alias("ba")), "a")
-    with_b = with_a.join(narrow.select(F.col("g1").alias("b"), F.col("n").alias("nb"), F.col("bins").alias("bb")), "b")
+    with_a = pairs.join(narrow.select(F.col("g1").alias("a"), F.col("n").alias("na"), F.col("bins").alias("ba")).hint("merge"), "a")
+    with_b = with_a.join(narrow.select(F.col("g1").alias("b"), F.col("n").alias("nb"), F.col("bins").alias("bb")).hint("merge"), "b")
     return with_b.select("a", "b", "na", "nb", "ba", "bb").mapInArrow(_near(least), _PAIR)
 
 
-def _in_groups(members: DataFrame, roots: DataFrame) -> DataFrame:
-    return members.join(roots.select(F.col("id").alias("g1"), "root"), "g1", "left").withColumn("root", F.coalesce("root", "g1"))
-
-
 def _folded(roots: DataFrame, links: DataFrame) -> DataFrame:
     """id and root with further links taken in: roots stand for their groups, so only the new links are folded."""
     if links.isEmpty():
@@ -392,18 +474,28 @@ def _folded(roots: DataFrame, links: DataFrame) -> DataFrame:
     return stored(every.join(over, F.col("root") == F.col("k"), "left").select("id", F.coalesce("r", "root").alias("root")), "roots")
 
 
-def _dealt(members: DataFrame) -> DataFrame:
-    """Members (key, n, g1, root, bins) by bucket; a bucket of more than BUCKET is cut into parts, and every two parts meet in a block of their own."""
-    large = members.groupBy("key").agg(F.ceil(F.count("*") / BUCKET).cast("int").alias("parts")).where("parts > 1")
-    blocks = F.expr("case when parts is null then array(0L) else transform(sequence(0, parts - 1), j -> cast(least(j, pmod(g1, parts)) * parts + greatest(j, pmod(g1, parts)) as bigint)) end")
-    dealt = members.join(large, "key", "left").withColumn("block", F.explode(blocks)).select("key", "block", "n", "g1", "root", "bins")
-    return dealt.repartition("key", "block").sortWithinPartitions("key", "block", "n", "g1")
+_MEMBER = ("key", "block", "parts", "n", "g1", "root", "bins", "keys")
+
+
+def _dealt(members: DataFrame, facts: DataFrame) -> DataFrame:
+    """Members (key, g1, n) by bucket, with their facts; a large bucket is cut into parts, and every two parts meet in a block of their own."""
+    sizes = members.groupBy("key").agg(F.count("*").alias("c"), F.sum("n").alias("w"))
+    large = sizes.select("key", F.ceil(F.greatest(F.col("c") / BUCKET, F.col("w") / BUCKET_WORDS)).cast("long").alias("parts")).where("parts > 1")
+    dealt = members.join(large, "key", "left").withColumn("parts", F.coalesce("parts", F.lit(1).cast("long")))
+    # The parts of members are numpy's remainders, never negative.
+    mine = "pmod(g1, parts)"
+    blocks = F.expr(f"transform(sequence(0L, parts - 1), j -> least(j, {mine}) * parts + greatest(j, {mine}))")
+    return dealt.withColumn("block", F.explode(blocks)).join(facts.hint("merge"), "g1").select(*_MEMBER)
+
+
+def _sorted(members: DataFrame) -> DataFrame:
+    return members.repartition("key", "block").sortWithinPartitions("key", "block", "n", "g1")
 
 
 def _alike(pairs: DataFrame, texts: DataFrame, least: float) -> DataFrame:
-    """The pairs whose texts are alike."""
-    with_a = pairs.join(texts.select(F.col("g1").alias("a"), F.col("text").alias("ta")), "a")
-    with_b = with_a.join(texts.select(F.col("g1").alias("b"), F.col("text").alias("tb")), "b")
+    """The pairs whose texts are alike. Joins that carry texts or profiles merge at every size, so that the plan does not turn with it."""
+    with_a = pairs.join(texts.select(F.col("g1").alias("a"), F.col("text").alias("ta")).hint("merge"), "a")
+    with_b = with_a.join(texts.select(F.col("g1").alias("b"), F.col("text").alias("tb")).hint("merge"), "b")
     return with_b.select("a", "b", "ta", "tb").mapInArrow(_verify(least), _PAIR)
 
 

@@ -80,56 +80,80 @@ def test_alignment_against_dynamic_programme():
     assert similar(np.zeros(0), np.zeros(0), 0.8) == 1.0
 
 
-def test_bucket_rounds_lose_no_group():
-    """The nearest of each group, then more of them, then all: the groups are those of all pairs, whatever verification says."""
-    rng = np.random.default_rng(4)
+def bucket(n, bins, group, **more):
+    size = len(n)
+    given = {"key": 5, "block": 0, "parts": 1, "g1": np.arange(size) * 31 - 40, "keys": [np.array([5])] * size, "texts": [b""] * size} | more
+    return neardup.Bucket(given["key"], given["block"], given["parts"], n, given["g1"], group, bins, given["keys"], given["texts"])
+
+
+def random_profiles(rng, size):
+    inner = np.arange(neardup.WIDTH) < neardup.BINS
+    base = rng.integers(0, 6, (4, neardup.WIDTH)) * inner
+    bins = np.array([np.maximum(0, base[rng.integers(4)] + inner * (rng.random(neardup.WIDTH) < 0.12) * rng.integers(-2, 3, neardup.WIDTH)) for _ in range(size)]).astype(np.uint8)
+    bins = bins[np.argsort(bins.sum(axis=1), kind="stable")]
+    return bins, bins.sum(axis=1).astype(np.int64)
 
-    def grouped(pairs, size):
-        root = list(range(size))
-        for _ in range(size):
-            for i, j in pairs:
-                root[i] = root[j] = min(root[i], root[j])
-        return root
-
-    for _ in range(40):
-        base = rng.integers(0, 6, (4, neardup.BINS))
-        bins = np.array([np.maximum(0, base[rng.integers(4)] + (rng.random(neardup.BINS) < 0.12) * rng.integers(-2, 3, neardup.BINS)) for _ in range(30)]).astype(np.uint8)
-        bins = bins[np.argsort(bins.sum(axis=1), kind="stable")]
-        n = bins.sum(axis=1).astype(np.int64)
-        within = {(i, j) for j in range(30) for i in range(j) if (np.abs(bins[i].astype(int) - bins[j]).sum() + abs(n[i] - n[j])) / 2 <= 0.2 * max(n[i], n[j])}
-        alike = {p for p in within if rng.random() < 0.5}
-        done = set()
-        for most in (1, 3, None):
-            group = np.array(grouped(done, 30))
-            tried = {(min(x), max(x)) for x in zip(*(v.tolist() for v in neardup.nearest_pairs(n, bins, group, most)))}
-            assert tried <= within and all(group[i] != group[j] for i, j in tried)
-            done |= tried & alike
-        assert grouped(done, 30) == grouped(alike, 30)
+
+def test_every_pair_across_groups_is_met_once():
+    """Over blocks and shared keys, every pair of two groups that the bound leaves is a candidate exactly once."""
+    rng = np.random.default_rng(4)
+    for parts in (1, 1, 3):
+        for _ in range(15):
+            size = 30
+            bins, n = random_profiles(rng, size)
+            group, g1 = rng.integers(0, 12, size), rng.permutation(1000)[:size] - 500
+            keys = [np.sort(rng.permutation(6)[: rng.integers(1, 6)]) for _ in range(size)]
+            within = {(i, j) for j in range(size) for i in range(j) if group[i] != group[j] and set(keys[i]) & set(keys[j]) and (np.abs(bins[i].astype(int) - bins[j]).sum() + abs(n[i] - n[j])) / 2 <= 0.2 * max(n[i], n[j])}
+            met = []
+            for key in range(6):
+                for p in range(parts):
+                    for q in range(p, parts):
+                        of = np.array([k for k in range(size) if key in keys[k] and g1[k] % parts in (p, q)], int)
+                        if len(of) > 1:
+                            b = bucket(n[of], bins[of], group[of], key=key, block=p * parts + q, parts=parts, g1=g1[of], keys=[keys[k] for k in of])
+                            met += [tuple(sorted((int(of[i]), int(of[j])))) for i, js in neardup.candidates(b) for j in js]
+            assert len(met) == len(set(met)) and set(met) == within
 
 
 @pytest.mark.parametrize("sizes", [(1, 1), (2, 2), (1, 1, 1), (2, 2, 2), (3, 3, 1), (1, 3, 3)])
-def test_equal_groups_of_a_bucket_meet(sizes):
-    """Every two groups are tried, from one side or the other, also where the largest are equally large."""
+def test_links_join_what_alike_pairs_join(monkeypatch, sizes):
+    """Every two groups are tried, also equally large ones, until one alike pair joins them; alike are only their last members."""
     group = np.repeat(np.arange(len(sizes)) * 7 + 3, sizes)
     size = len(group)
-    n, bins = np.full(size, 20), np.ones((size, neardup.BINS), np.uint8)
-    every = {(a, b) for a in group.tolist() for b in group.tolist() if a < b}
-    for most in (1, None):
-        assert {tuple(sorted((int(group[i]), int(group[j])))) for i, j in zip(*neardup.nearest_pairs(n, bins, group, most))} == every
-    assert len(neardup.nearest_pairs(n, bins, group)[0]) == (size * size - sum(k * k for k in sizes)) // 2
+    last = {int(np.flatnonzero(group == g)[-1]) for g in np.unique(group)}
+    b = bucket(np.full(size, 20), np.ones((size, neardup.WIDTH), np.uint8), group, texts=[str(i).encode() for i in range(size)])
+    number = {int(neardup.words_of(np.frombuffer(t, np.uint8), np.array([0, len(t)]))[0][0]): i for i, t in enumerate(b.texts)}
+    monkeypatch.setattr(neardup, "similar", lambda x, y, least: 1.0 if {number[int(x[0])], number[int(y[0])]} <= last else None)
+    found = neardup.links_of(b)
+    assert len(found) == len(sizes) - 1 and all({i, j} <= last for i, j in found)
+    assert len({p for i, js in neardup.candidates(b) for p in {(i, j) for j in js}}) == (size * size - sum(k * k for k in sizes)) // 2
 
 
 def test_buckets_over_batches():
-    """Buckets are whole whatever the batches' edges; wide or many rows lose none."""
+    """Buckets are whole whatever the batches' edges; no row is lost."""
     rng = np.random.default_rng(5)
     key = np.sort(rng.integers(0, 12, 60))
-    rows = [key, np.zeros(60, np.int64), np.arange(60), np.arange(60) + 100, np.arange(60) % 3]
-    columns = [pa.array(x, pa.int64()) for x in rows] + [neardup._binary(np.full((60, neardup.BINS), 7, np.uint8))]
-    whole = pa.RecordBatch.from_arrays(columns, ["key", "block", "n", "g1", "root", "bins"])
+    rows = [key, np.zeros(60, np.int64), np.ones(60, np.int64), np.arange(60), np.arange(60) + 100, np.arange(60) % 3]
+    columns = [pa.array(x, pa.int64()) for x in rows] + [neardup._binary(np.full((60, neardup.WIDTH), 7, np.uint8)), pa.array([[i] * (i % 3 + 1) for i in range(60)], pa.list_(pa.int64())), pa.array([f"t{i}" for i in range(60)])]
+    whole = pa.RecordBatch.from_arrays(columns, ["key", "block", "parts", "n", "g1", "root", "bins", "keys", "text"])
     for step in (1, 7, 60):
         got = list(neardup._buckets(iter([whole.slice(i, step) for i in range(0, 60, step)])))
-        assert [b[1].tolist() for b in got] == [(np.flatnonzero(key == k) + 100).tolist() for k in range(12) if (key == k).sum() > 1]
-        assert all(b[3].shape == (len(b[0]), neardup.BINS) for b in got)
+        assert [b.g1.tolist() for b in got] == [(np.flatnonzero(key == k) + 100).tolist() for k in range(12) if (key == k).sum() > 1]
+        for b in got:
+            assert b.bins.shape == (len(b.n), neardup.WIDTH) and b.texts == [f"t{i}".encode() for i in b.n] and [k.tolist() for k in b.keys] == [[i] * (i % 3 + 1) for i in b.n.tolist()]
+
+
+def test_a_cut_bucket_loses_no_group(table, monkeypatch):
+    """With blocks of a few members and of a few words the groups stay the same."""
+    rng = random.Random(31)
+    passage = [f"p{i}" for i in range(90)]
+    texts = [[*passage, *(f"w{rng.randrange(500)}" for _ in range(rng.randint(25, 60)))] for _ in range(40)]
+    texts += [edited(rng, t, 4) for t in texts[:20]]
+    docs = table([(i, " ".join(map(str, t))) for i, t in enumerate(texts)])
+    whole = {r["doc_id"]: r["group_id"] for r in neardup.groups(docs).collect()}
+    assert all(whole[i] == whole[40 + i] for i in range(20)) and len(set(whole.values())) > 5
+    monkeypatch.setattr(neardup, "BUCKET", 7)
+    assert {r["doc_id"]: r["group_id"] for r in neardup.groups(docs).collect()} == whole
 
 
 def edited(rng, words, edits):
@@ -141,6 +165,19 @@ def edited(rng, words, edits):
     return out
 
 
+def test_bounds_are_bounds():
+    """No pair that the bound excludes can be aligned with so few edits."""
+    rng = random.Random(21)
+    texts = [[rng.randrange(k) for _ in range(rng.randint(2, 30))] for k in (2, 5, 300) for _ in range(40)]
+    texts += [edited(rng, t, rng.randint(0, 4)) for t in texts]
+    words = np.array([(w + 1) * 0x9E3779B97F4A7C15 % 2**64 for t in texts for w in t], np.uint64)
+    n = np.array([len(t) for t in texts])
+    wide = neardup.profiles(words, np.concatenate(([0], np.cumsum(n)))).astype(np.int16)
+    for i in range(0, len(texts), 3):
+        bound = neardup._bounds(wide[i], wide, n[i], n)
+        assert all(bound[j] <= distance(np.array(texts[i]), np.array(texts[j]), 99) for j in range(len(texts)))
+
+
 @pytest.mark.parametrize("length, share", [*[(n, 1.0) for n in range(4, 41, 4)], (41, 0.9), (60, 0.9), (100, 0.93), (400, 0.95)])
 def test_candidates_at_the_threshold(length, share):
     """Pairs with as many edits as the threshold allows have a common key: all where both are short, else nearly all."""
