@@ -26,7 +26,7 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _documents(spark, sf_dir)
     held = toxicity.held_out("doc_id", 5, 0)
     found = langid.identify(docs, ~held)
-    return found.select("doc_id", toxicity.held_out("doc_id", 5, 0).alias("held_out"), F.col("_lang_pred").alias("lang_pred"), F.col("_score").alias("score"), F.col("_rejected").alias("rejected"))
+    return found.select("doc_id", toxicity.held_out("doc_id", 5, 0).alias("held_out"), "lang_pred", "score", "rejected")
 
 
 def op3_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .tables import free_names
+
 
 def seeded(seed: int, *columns: str) -> Column:
     """A 60-bit number from the seed and columns, the same in any engine that has MD5."""
@@ -49,13 +51,17 @@ def attach(docs: DataFrame, keys: list[Column], narrow: DataFrame, names: list[s
     Rows whose keys are all equal are interchangeable, so the i-th of them gets the i-th row of
     ``narrow``. The text moves once, by its keys; nothing is broadcast.
     """
-    tags = [f"_sw_k{i}" for i in range(len(keys))]
+    # Names that no column of the rows has, as their own columns stay beside them.
+    names_free = free_names([*docs.columns, *columns], *[f"_sw_k{i}" for i in range(len(keys))], *[f"_sw_r{i}" for i in range(len(keys))], "_sw_nl", "_sw_nr", *[f"_sw_c{i}" for i in range(len(columns))])
+    tags, others = names_free[: len(keys)], names_free[len(keys) : 2 * len(keys)]
+    nl, nr, *values = names_free[2 * len(keys) :]
     left = docs.select("*", *[k.alias(t) for k, t in zip(keys, tags)])
-    left = left.withColumn("_sw_rn", F.row_number().over(Window.partitionBy(*tags).orderBy(tags[0])))
-    right = narrow.select(*[F.col(n).alias(t + "r") for n, t in zip(names, tags)], *[F.col(c).alias(f"_sw_{c}") for c in columns])
-    right = right.withColumn("_sw_rnr", F.row_number().over(Window.partitionBy(*[t + "r" for t in tags]).orderBy(*[f"_sw_{c}" for c in columns])))
-    on = F.col("_sw_rn") == F.col("_sw_rnr")
-    for t in tags:
-        on = on & F.col(t).eqNullSafe(F.col(t + "r"))
-    keep = [c for c in docs.columns if c not in columns]
-    return left.join(right, on, "inner").select(*keep, *[F.col(f"_sw_{c}").alias(c) for c in columns])
+    left = left.withColumn(nl, F.row_number().over(Window.partitionBy(*tags).orderBy(tags[0])))
+    right = narrow.select(*[F.col(n).alias(t) for n, t in zip(names, others)], *[F.col(c).alias(v) for c, v in zip(columns, values)])
+    right = right.withColumn(nr, F.row_number().over(Window.partitionBy(*others).orderBy(*values)))
+    on = F.col(nl) == F.col(nr)
+    for t, o in zip(tags, others):
+        on = on & F.col(t).eqNullSafe(F.col(o))
+    replaced = {c.lower() for c in columns}
+    keep = [c for c in docs.columns if c.lower() not in replaced]
+    return left.join(right, on, "inner").select(*keep, *[F.col(v).alias(c) for c, v in zip(columns, values)])

@@ -1,6 +1,7 @@
 """Language identification, toxicity, near duplicates and the pipeline."""
 
 import random
+import zlib
 
 import numpy as np
 import pyarrow as pa
@@ -25,12 +26,61 @@ def test_languages_held_out(table):
     docs = table(rows)
     got = langid.identify(docs, ~toxicity.held_out("doc_id", 5, 0), keep=docs.columns).collect()
     known = [r for r in got if r["doc_id"] is not None and r["doc_id"] < 900]
-    assert np.mean([r["lang"] == r["_lang_pred"] for r in known if r["doc_id"] % 7 == 0]) > 0.97 and all(0 <= r["_score"] <= 1 for r in got)
-    assert [r["_lang_pred"] for r in got if r["doc_id"] in (1000, 1001, 1002)] == ["und"] * 3 and next(r for r in got if r["doc_id"] is None)["_lang_pred"] == "de"
+    assert np.mean([r["lang"] == r["lang_pred"] for r in known if r["doc_id"] % 7 == 0]) > 0.97 and all(0 <= r["score"] <= 1 for r in got)
+    assert [r["lang_pred"] for r in got if r["doc_id"] in (1000, 1001, 1002)] == ["und"] * 3 and next(r for r in got if r["doc_id"] is None)["lang_pred"] == "de"
     kept = langid.keep_known(docs)
     assert kept.columns == docs.columns and kept.where("doc_id >= 1000").count() == 0 and kept.count() > 890
     nothing = langid.identify(docs.withColumn("lang", F.lit(None).cast("string"))).collect()
-    assert {r["_lang_pred"] for r in nothing} == {"und"} and langid.identify(docs.limit(0)).count() == 0
+    assert {r["lang_pred"] for r in nothing} == {"und"} and langid.identify(docs.limit(0)).count() == 0
+
+
+def test_training_reads_whole_texts(table, monkeypatch):
+    """The language of these texts shows only after a long head that all share; a long text is cut between words without a change."""
+    rng = random.Random(3)
+    head = " ".join(f"h{i}" for i in range(400))
+    rows = [(i, head + " " + text(rng, lang, 400), lang, "s", 1) for i in range(240) for lang in [rng.choice(list(WORDS))]]
+    docs = table(rows)
+    got = langid.identify(docs, ~toxicity.held_out("doc_id", 5, 0), keep=["doc_id", "lang"]).collect()
+    assert np.mean([r["lang"] == r["lang_pred"] for r in got if zlib.crc32(str(r["doc_id"]).encode()) % 5 == 0]) > 0.97
+    data = np.frombuffer(("été x " * 300 + "y" * 500 + " Ä").encode(), np.uint8)
+    for most in (7, 100):
+        at, owner = langid.cut_long(data, np.array([0, 0, len(data)]), most)
+        assert owner[0] == 0 and set(owner[1:]) == {1} and len(at) > 4
+        pieces = np.concatenate([langid.subwords(data[i:j], np.array([0, j - i]))[0] for i, j in zip(at[:-1], at[1:])])
+        assert sorted(pieces) == sorted(langid.subwords(data, np.array([0, len(data)]))[0])
+
+
+def test_model_against_explicit_means(table):
+    """Probabilities are the softmax of the layer on the mean embedding, n-gram by n-gram."""
+    rng = random.Random(4)
+    texts = [text(rng, lang, 30).encode() for lang in ("en", "de", "fr") * 20]
+    grams = [langid.shares(np.frombuffer(t, np.uint8)) for t in texts]
+    model = langid.train(grams, ["en", "de", "fr"] * 20)
+    data, at = np.frombuffer(b"".join(texts), np.uint8), np.concatenate(([0], np.cumsum([len(t) for t in texts])))
+    got = model.probabilities(data, at)
+    for k in (0, 1, 59):
+        rows = langid.subwords(np.frombuffer(texts[k], np.uint8), np.array([0, len(texts[k])]))[0]
+        z = (sum(model.table[r].astype(float) for r in rows) / len(rows) + model.bias) / model.temperature
+        assert got[k] == pytest.approx(np.exp(z) / np.exp(z).sum(), abs=1e-6)
+
+
+CLASHING = ("_lang_pred", "_score", "_rejected", "score", "_sw_k", "_sw_x", "_sw_r", "_sw_k0", "_sw_copies_", "_sw_rn", "_r", "_u", "shard", "Slot", "id", "g1", "n")
+
+
+def test_clashing_names(spark, table):
+    """Every filtering stage leaves extra columns as they are, whatever they are called."""
+    from sievework.llm import decontaminate, mixing, sharding
+
+    rng = random.Random(5)
+    docs = table([(i, text(rng, "en", 40), "en", "ab"[i % 2], 1) for i in range(30)] + [(30, None, None, None, None)])
+    for i, name in enumerate(CLASHING):
+        docs = docs.withColumn(name, F.col("doc_id") * 100 + i)
+    items = spark.createDataFrame([(1, "not in any text at all")], "item_id long, text string")
+    for out, n in ((langid.keep_known(docs), 30), (neardup.keep_one(docs), 31), (decontaminate.clean(docs, items), 31), (mixing.mix(docs), None), (sharding.shard_rows(docs, 3), 31)):
+        rows = out.collect()
+        assert n is None or len(rows) == n
+        assert all(r[name] == r["doc_id"] * 100 + i for r in rows for i, name in enumerate(CLASHING) if not (name in ("shard", "Slot") and "slot" in out.columns))
+    assert len(langid.identify(docs, keep=docs.columns).columns) == len(docs.columns) + 3
 
 
 def test_subwords_stay_inside_words_and_documents():
@@ -56,7 +106,7 @@ def test_toxicity_learns_pairs(spark, table):
         labels.append((i, int(insult and group)))
     rows += [(5000, None), (5001, ""), (None, "scum folk")]
     got = {r["doc_id"]: r for r in toxicity.score(table(rows), spark.createDataFrame([*labels, (1, None), (None, 1)], "doc_id long, toxic int"), ~toxicity.held_out("doc_id", 4, 2)).collect()}
-    held = [i for i, _ in labels if __import__("zlib").crc32(str(i).encode()) % 4 == 2]
+    held = [i for i, _ in labels if zlib.crc32(str(i).encode()) % 4 == 2]
     assert np.mean([got[i]["predicted"] == labels[i][1] for i in held]) > 0.97
     assert got[5000]["score"] == got[5001]["score"] and all(0 <= r["score"] <= 1 for r in got.values())
     empty = spark.createDataFrame([], "doc_id long, toxic int")

@@ -132,18 +132,55 @@ def test_html_pages_table(spark):
     assert htmltext.main_text(pages.limit(0)).count() == 0
 
 
-def test_targets_and_fit():
-    assert mixing.targets([100, 1, 50, 0], [5, 2, 1, 5]) == pytest.approx([148 / 6 * 5, 3, 148 / 6, 0])
-    assert sum(mixing.targets([7, 9, 1000], [5, 2, 1])) == pytest.approx(1016)
+def plain_targets(sizes, weights, most=3):
+    out, open_, rest = [0.0] * len(sizes), {i for i, s in enumerate(sizes) if s}, float(sum(sizes))
+    while open_:
+        per = rest / sum(weights[i] for i in open_)
+        over = {i for i in open_ if per * weights[i] > most * sizes[i]}
+        for i in over or open_:
+            out[i] = most * sizes[i] if over else per * weights[i]
+        rest -= sum(out[i] for i in over)
+        open_ = open_ - over if over else set()
+    return out
+
+
+def test_targets(spark):
+    rng = random.Random(8)
+    for _ in range(4):
+        sizes = [rng.choice([0, 1, 3, 50, 100, 5000]) for _ in range(rng.randint(1, 12))]
+        names = sorted(rng.sample(["a", "b", "é", "z", "zz", "中", "\U0001F600", "A", "", "a a", "~", "0"], len(sizes)))
+        names = names[:-1] + [None]
+        sums = mixing.weighed(spark.createDataFrame(list(zip(names, sizes)), "source string, s long"))
+        got = {r["source"]: (r["s"], r["target"]) for r in mixing.targets(sums, 3).collect()}
+        want = plain_targets(sizes, [(5, 2, 1)[i % 3] for i in range(len(sizes))])
+        assert [got[n][1] for n in names] == pytest.approx(want)
+    assert mixing.targets(mixing.weighed(spark.createDataFrame([], "source string, s long")), 3).count() == 0
+
+
+def test_fit_is_the_best_sum():
+    """Nearest to the budget from below, against all sums; also where the programme covers only a part of the budget at first."""
     rng = random.Random(5)
-    for _ in range(200):
-        lengths = rng.sample(range(1, 40), rng.randint(1, 6))
-        counts = [rng.randint(1, 4) for _ in lengths]
-        total = sum(a * b for a, b in zip(lengths, counts))
-        budget = rng.randint(0, total)
-        took = mixing.fit(lengths, counts, budget)
-        got = sum(a * b for a, b in zip(lengths, took))
-        assert all(0 <= t <= c for t, c in zip(took, counts)) and got <= budget and budget - got < max(lengths)
+    for case in range(600):
+        lengths = rng.sample(range(1, 400), rng.randint(1, 6)) if case % 2 else [7 * k for k in rng.sample(range(1, 40), rng.randint(1, 5))]
+        counts = [rng.randint(0, 5) for _ in lengths]
+        sums = {0}
+        for n, c in zip(lengths, counts):
+            sums = {s + n * k for s in sums for k in range(c + 1)}
+        budget = rng.randint(0, max(sums))
+        for rooms in (mixing.ROOMS, (16, 64, 1 << 14)):
+            took = mixing.fit(lengths, counts, budget, rooms)
+            assert all(0 <= t <= c for t, c in zip(took, counts)) and sum(a * b for a, b in zip(lengths, took)) == max(s for s in sums if s <= budget)
+
+
+def test_fit_of_one_long_and_many_short():
+    """A text of two million words takes no room for bitsets of its length."""
+    import tracemalloc
+
+    tracemalloc.start()
+    lengths = [*range(1, 301), 2_000_000]
+    took = mixing.fit(lengths, [20] * 300 + [1], 700_000)
+    assert sum(a * b for a, b in zip(lengths, took)) == 700_000 and tracemalloc.get_traced_memory()[1] < 20 << 20
+    tracemalloc.stop()
 
 
 def test_mixture(table):
