@@ -1,16 +1,22 @@
 """Toxicity by a factorization machine over hashed terms.
 
 Terms are lower-cased words, their stems, pairs of neighbouring words and repeated ones, hashed to 2**18 slots; a document's
-features are its distinct slots. Slots that few training documents hold, or that occur alike in
-both classes (chi-squared), are left out: their weights could only memorise. Beside linear
-weights, each slot has a short vector; the product of two terms' vectors is the weight of their
-meeting, so an insult that counts only beside a group mention is learnt. Training is AdaGrad on
-the logistic loss in numpy, on at most ``train_documents`` labelled rows (the least of a seeded
-hash): a documented bound. Scoring reads whole texts.
+features are its distinct slots. A slot is used if enough training documents hold it and either
+it occurs unlike in the two classes (chi-squared) or it does so together with another slot beyond
+what both do alone (the contrast of the four cells of a pair, over all pairs of the
+``PAIR_TERMS`` slots that most documents hold): the weights of others could only memorise.
+Beside linear weights, each slot has a short vector; the product of two terms' vectors is the
+weight of their meeting, so an insult that counts only beside a group mention is learnt, and also
+two words that tell nothing each alone. Training is AdaGrad on the logistic loss in numpy, on at
+most ``train_documents`` labelled rows (the least of a seeded hash): a documented bound. Scoring
+reads whole texts.
 
 Defined results: null and empty texts score as a document without terms (the bias alone); rows
 without a label are not learnt from; without labels every score is 0; equal texts get equal
-scores; a document with several label rows counts once for each; other columns are ignored.
+scores; a document with several label rows counts once for each; rows repeated with id and text
+are learnt from like others, in the order of their texts' hashes where ids tie; an empty table
+gives no rows; a very long text is held whole in one task, at about 60 bytes a byte; other
+columns are ignored.
 """
 
 from __future__ import annotations
@@ -23,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .arrays import BYTE_VALUES, mix, pieces, span_hashes, utf8, word_spans
+from .arrays import BYTE_VALUES, mix, pieces, span_hashes, utf8, word_hashes, word_spans
 from .ranks import seeded, seeded_sample
 from .tables import small_batches
 
@@ -31,6 +37,8 @@ SLOTS_LOG2, FACTORS = 18, 8
 #: Bound of the training sample.
 TRAIN_DOCUMENTS = 12_000
 THRESHOLD = 0.3
+#: Slots of which all pairs are tested, and the least contrast of a pair, in standard deviations (of two million pairs, chance leaves none) and in shares.
+PAIR_TERMS, PAIR_Z, PAIR_CONTRAST = 2048, 6.0, 0.3
 #: Stems are a longer word's first so many bytes; numbers of uses that make a term of their own.
 STEMS, REPEATS = (5, 6, 7), (2, 3, 5)
 _MASK = (1 << SLOTS_LOG2) - 1
@@ -45,14 +53,14 @@ def terms(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
     """Distinct hashed terms of each document: slots, and len + 1 offsets into them."""
     docs = len(offsets) - 1
     lo, hi, per = word_spans(data, offsets, _STOPS)
-    words = span_hashes(_VALUES[data], lo, hi)
+    words = word_hashes(data, lo, hi, _VALUES)
     who = np.repeat(np.arange(docs), np.diff(per))
     with np.errstate(over="ignore"):
         pairs = mix(words[:-1] * np.uint64(0x9E3779B97F4A7C15) + words[1:])[who[:-1] == who[1:]] if len(words) else words
     found, owner = [words, pairs], [who, who[:-1][who[:-1] == who[1:]]]
     for n in STEMS:
         long = hi - lo > n
-        found.append(mix(span_hashes(_VALUES[data], lo[long], lo[long] + n) + np.uint64(n)))
+        found.append(mix(span_hashes(data, lo[long], lo[long] + n, _VALUES) + np.uint64(n)))
         owner.append(who[long])
     key = (np.concatenate(found) >> np.uint64(64 - SLOTS_LOG2)).astype(np.int64) | np.concatenate(owner) << SLOTS_LOG2
     key, times = np.unique(key, return_counts=True)
@@ -93,14 +101,46 @@ class Machine:
 
 
 def telling(documents: list[np.ndarray], labels: np.ndarray, least: int = 5, chi2: float = 10.83) -> np.ndarray:
-    """Slots that at least ``least`` documents hold and whose share differs between the classes (chi-squared, one degree)."""
+    """Slots that at least ``least`` documents hold and whose share differs between the classes (chi-squared, one degree), alone or with another."""
     size, n, ones = 1 << SLOTS_LOG2, len(documents), labels.sum()
     a = np.bincount(np.concatenate([d for d, y in zip(documents, labels) if y] or [np.zeros(0, np.int64)]), minlength=size).astype(float)
     df = np.bincount(np.concatenate(documents), minlength=size).astype(float)
     b, c, d = df - a, ones - a, n - ones - df + a
     with np.errstate(invalid="ignore", divide="ignore"):
         value = n * (a * d - b * c) ** 2 / (df * (n - df) * ones * (n - ones))
-    return (df >= least) & (np.nan_to_num(value) >= chi2)
+    return (df >= least) & (np.nan_to_num(value) >= chi2) | _meeting(documents, labels, df, least)
+
+
+def _meeting(documents: list[np.ndarray], labels: np.ndarray, df: np.ndarray, least: int) -> np.ndarray:
+    """Slots of pairs whose meeting changes the share of positives beyond what both terms do alone."""
+    n, out = len(documents), np.zeros(len(df), bool)
+    common = np.argsort(-df, kind="stable")[:PAIR_TERMS]
+    # A term that nearly all documents hold has no cell without it.
+    common = common[(df[common] >= least) & (df[common] <= n - least)]
+    size = len(common)
+    place = np.full(len(df), -1)
+    place[common] = np.arange(size)
+    both, good = np.zeros((size, size), np.float32), np.zeros((size, size), np.float32)
+    for at in range(0, n, 512):
+        x = np.zeros((min(512, n - at), size), np.float32)
+        for row, document in zip(x, documents[at : at + 512]):
+            here = place[document]
+            row[here[here >= 0]] = 1
+        both += x.T @ x
+        x = x[labels[at : at + 512] > 0]
+        good += x.T @ x
+    share, held, ones = labels.mean() if n else 0.0, np.diag(both).copy(), np.diag(good).copy()
+    for i in range(size):
+        # Documents and positives of the four cells: both, the first, the second, neither.
+        cells = np.stack([both[i], held[i] - both[i], held - both[i], n - held[i] - held + both[i]])
+        hits = np.stack([good[i], ones[i] - good[i], ones - good[i], labels.sum() - ones[i] - ones + good[i]])
+        enough = (cells >= least).all(axis=0)
+        rate = hits[:, enough] / cells[:, enough]
+        spread = np.sqrt(max(share * (1 - share), 1e-9) * (1 / cells[:, enough]).sum(axis=0))
+        found = np.flatnonzero(enough)[np.abs(rate[0] - rate[1] - rate[2] + rate[3]) > PAIR_Z * spread]
+        if len(found):
+            out[common[found]] = out[common[i]] = True
+    return out
 
 
 def train(documents: list[np.ndarray], labels: np.ndarray, epochs: int = 15, rate: float = 0.2, decay: float = 1e-3, seed: int = 6) -> Machine:
@@ -143,14 +183,14 @@ def score(docs: DataFrame, labels: DataFrame, learnable: Column | None = None, i
     known = known.select(F.col(id_col).alias("_id"), F.col(label_col).cast("int").alias("l"), seeded(6, id_col).alias("u"))
     chosen = seeded_sample(known, "u", train_documents, "_id", "l")
     # The sample has a fixed bound, so it is broadcast; texts become term lists where they are read.
-    got = docs.select(id_col, text_col).join(F.broadcast(chosen), F.col(id_col) == F.col("_id")).select(F.col(text_col).alias("t"), "l", "u")
+    got = docs.select(id_col, text_col).join(F.broadcast(chosen), F.col(id_col) == F.col("_id")).select(F.col(text_col).alias("t"), "l", "u", F.xxhash64(F.col(text_col)).alias("h"))
 
     def lists(batches):
         for batch in batches:
             slots, at = terms(*utf8(batch.column(0)))
-            yield pa.RecordBatch.from_arrays([pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(slots, pa.int32())), batch.column(1), batch.column(2)], ["s", "l", "u"])
+            yield pa.RecordBatch.from_arrays([pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(slots, pa.int32())), *batch.columns[1:]], ["s", "l", "u", "h"])
 
-    rows = got.mapInArrow(lists, "s array<int>, l int, u long").toArrow().sort_by([("u", "ascending"), ("l", "ascending")])
+    rows = got.mapInArrow(lists, "s array<int>, l int, u long, h long").toArrow().sort_by([("u", "ascending"), ("l", "ascending"), ("h", "ascending")])
     machine = None
     if rows.num_rows:
         found = rows.column("s").combine_chunks()

@@ -93,8 +93,9 @@ def test_subwords_stay_inside_words_and_documents():
     assert by[1] == [[], []] and by[2][0] == by[0][0][:2] and by[2][1] == by[0][1][:1]
 
 
-def test_toxicity_learns_pairs(spark, table):
-    """An insult counts only beside a group: no linear weights can tell."""
+@pytest.mark.parametrize("toxic", [lambda a, b: a and b, lambda a, b: a != b])
+def test_toxicity_learns_pairs(spark, table, toxic):
+    """An insult counts only beside a group, or exactly one of two words counts: no linear weights can tell."""
     rng = random.Random(3)
     filler = [f"w{i}" for i in range(200)]
     rows, labels = [], []
@@ -103,7 +104,7 @@ def test_toxicity_learns_pairs(spark, table):
         words = rng.sample(filler, 8) + ["scum"] * insult + ["folk"] * group
         rng.shuffle(words)
         rows.append((i, " ".join(words)))
-        labels.append((i, int(insult and group)))
+        labels.append((i, int(toxic(insult, group))))
     rows += [(5000, None), (5001, ""), (None, "scum folk")]
     got = {r["doc_id"]: r for r in toxicity.score(table(rows), spark.createDataFrame([*labels, (1, None), (None, 1)], "doc_id long, toxic int"), ~toxicity.held_out("doc_id", 4, 2)).collect()}
     held = [i for i, _ in labels if zlib.crc32(str(i).encode()) % 4 == 2]
@@ -113,6 +114,27 @@ def test_toxicity_learns_pairs(spark, table):
     assert {r["score"] for r in toxicity.score(table(rows), empty).collect()} == {0.0} and toxicity.score(table(rows).limit(0), empty).count() == 0
 
 
+def test_margins_against_explicit_pairs():
+    rng = np.random.default_rng(7)
+    size = 1 << toxicity.SLOTS_LOG2
+    machine = toxicity.Machine(0.3, rng.random(size) < 0.8, rng.normal(size=size), rng.normal(size=(size, toxicity.FACTORS)))
+    documents = [rng.choice(size, n, False) for n in (0, 1, 2, 9, 40)]
+    got = machine.margins(np.concatenate(documents), np.concatenate(([0], np.cumsum([len(d) for d in documents]))))
+    for d, z in zip(documents, got):
+        d = [s for s in d if machine.used[s]]
+        want = 0.3 + sum(machine.linear[s] for s in d) + sum(machine.factors[s] @ machine.factors[t] for k, s in enumerate(d) for t in d[:k])
+        assert z == pytest.approx(want)
+
+
+def test_terms_against_plain_ones():
+    """Two documents share a slot for every word, neighbouring pair, stem and repeat that they share; a long text is hashed like a short one."""
+    docs = [b"Scum folk", b"folk scum SCUM", b"", b"scumbag! folk"]
+    slots, at = toxicity.terms(np.frombuffer(b"".join(docs), np.uint8), np.concatenate(([0], np.cumsum([len(d) for d in docs]))))
+    sets = [set(slots[i:j].tolist()) for i, j in zip(at[:-1], at[1:])]
+    # scum, folk, their pair; with the pair and the repeat of scum; nothing; scumbag, its stems of 5 and 6 bytes, folk, their pair.
+    assert [len(s) for s in sets] == [3, 5, 0, 5] and len(sets[0] & sets[1]) == 2 and len(sets[0] & sets[3]) == 1
+
+
 def test_alignment_against_dynamic_programme():
     rng = random.Random(5)
     for _ in range(1500):
