@@ -1,8 +1,12 @@
 """Main-text extraction from HTML by tree scoring.
 
-The page is parsed into a tree with the usual repairs (implied ends of p, li, table parts and
-options; raw text of script and style; unclosed inline elements end with their block). Elements
-that are never article text (scripts, menus, forms, ...; or by their class, id or role) are cut.
+The page is read into a tree with the usual repairs (implied ends of p, li, table parts and
+options; raw text of script and style; unclosed inline elements end with their block; quotes
+count only around an attribute's value). Elements that are never article text (scripts, menus,
+...; or by their role or a class or id of such a name) are cut. A form, and an element of a
+compound name of which one word could also be a topic ("share-price-report"), is cut only if it
+does not hold most of the page's prose.
+
 Each paragraph passes points for its length and its commas to its parent, half as many to the
 grandparent and a third to the next; a container's points are discounted by its link density.
 The best container is kept, with those of its siblings that score near it or are paragraphs of
@@ -12,14 +16,17 @@ The text: character references decoded, white space inside a block made one spac
 blocks joined in page order by a line feed.
 
 Defined results: null and empty pages give an empty text; text without any element is one
-block; a page whose every candidate is cut gives an empty text; unclosed and misnested tags
-never fail; equal pages give equal texts; other columns are ignored. Whole pages are read.
+block; a page whose every candidate is cut gives an empty text; unclosed, misnested and very
+deeply nested tags never fail (nothing recurses, and no tag walks the open elements); equal pages
+give equal texts; repeated rows are rows like others; an empty table gives no rows; other columns
+are ignored. Whole pages are read.
 """
 
 from __future__ import annotations
 
 import html
 import re
+from bisect import bisect_right
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -31,7 +38,7 @@ from .tables import small_batches
 
 # Fixed values of the HTML standard.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style textarea title noscript iframe xmp noembed noframes template".split())
+RAW = frozenset("script style textarea title noscript iframe xmp noembed noframes".split())
 BLOCKS = frozenset("address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html li main menu nav ol p pre search section summary table tbody td tfoot th thead tr ul".split())
 CLOSES_P = BLOCKS - frozenset("html body caption tbody td tfoot th thead tr".split())
 IMPLIED = {
@@ -48,227 +55,276 @@ IMPLIED = {
 }
 
 #: Elements that are never article text.
-CUT = frozenset("script style noscript iframe template svg math canvas object embed audio video nav aside footer form button input select textarea option fieldset label dialog menu head title noembed noframes search map".split())
+CUT = frozenset("script style noscript iframe template svg math canvas object embed audio video nav aside footer button input select textarea option fieldset label dialog menu head title noembed noframes search map".split())
 CUT_ROLES = frozenset("navigation banner contentinfo complementary search dialog alertdialog alert menu menubar form tablist toolbar".split())
-#: Words of a class or id that name a part beside the article.
-CUT_WORDS = frozenset(
-    "ad ads advert adverts advertisement advertising adsense banner sponsor sponsored sponsors promo promotion promoted "
-    "nav navbar navigation menu menus breadcrumb breadcrumbs sidebar aside rail widget widgets footer foot header masthead topbar "
-    "cookie cookies consent gdpr notice notices popup modal overlay newsletter subscribe subscription signup login share sharing social "
-    "comment comments reply replies disqus respond discussion related recommended recommendations trending outbrain taboola pagination pager "
-    "skip copyright legal disclaimer toolbar tags alert announcement toc search lightbox feedback survey poll".split()
+#: Words that name a part beside the article, in a class or id of one word or of several.
+BESIDE = frozenset(
+    "ads advert adverts advertisement advertising adsense sponsor sponsored sponsors promo promoted nav navbar navigation menu menus breadcrumb breadcrumbs sidebar "
+    "footer foot masthead topbar cookie cookies consent gdpr popup newsletter subscribe signup comment comments reply replies disqus respond outbrain taboola pagination pager copyright widget widgets".split()
+)
+#: Words that do so where they stand alone; in a compound name they may be a topic.
+ALONE = frozenset(
+    "ad banner promotion aside rail header notice notices modal overlay subscription login share sharing social discussion related recommended recommendations "
+    "trending skip legal disclaimer toolbar tags alert announcement toc search lightbox feedback survey poll".split()
 )
-#: Of these, words that the article's own parts or its container also carry ("entry-header", "content with-sidebar").
-_EITHER = frozenset("header head sidebar tags legal rail aside toc notice".split())
+#: Words beside which a name only says what a page has ("with-sidebar", "comments-open").
+_STATES = frozenset("has with no without enabled disabled open closed".split())
+#: Names of the article's own parts or its container ("entry-header", "article-tags").
+_OWN = frozenset("header head tags legal rail aside toc notice".split())
 _ARTICLE = frozenset("article content entry main post story".split())
 _GOOD = frozenset("article body content entry main page post story text blog prose".split())
-_NAME = re.compile(r"[A-Za-z][^\s/>]*")
-_TOKEN = re.compile(r"<!--(?:>|->|.*?(?:--!?>|\Z))|<[!?][^>]*(?:>|\Z)|</([A-Za-z][^\s/>]*)[^>]*(?:>|\Z)|<([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)", re.S)
-_ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
+# A quote opens a value only after "="; elsewhere it is a character like others.
+_REST = r"((?:[\s/]++|(?:=[^\s/>=]*+|[^\s/>=]++)(?:\s*+=\s*+(?:\"[^\"]*+(?:\"|\Z)|'[^']*+(?:'|\Z)|[^\s>\"'][^\s>]*+)?+)?+)*+)(?:>|\Z)"
+_TOKEN = re.compile(r"<!--(?:-?>|.*?(?:--!?>|\Z))|<(?:[!?]|/[^A-Za-z])[^>]*+(?:>|\Z)|</>|<(/?)([A-Za-z][^\s/>]*+)" + _REST, re.S)
+_ATTRIBUTE = re.compile(r"(=[^\s/>=]*|[^\s/>=]+)(?:\s*=\s*(?:\"([^\"]*)\"?|'([^']*)'?|([^\s>]+)))?")
 _PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])|\d+")
 _SPACE = re.compile(r"\s+")
+_CLOSERS = {tag: re.compile(rf"</{tag}(?=[\s/>])[^>]*(?:>|\Z)", re.I) for tag in RAW}
+#: Characters of a block that make it prose where it is no sentence.
+PROSE = 80
 
 
 class Node:
-    __slots__ = ("tag", "kids", "up", "cut", "bonus")
-
-    def __init__(self, tag: str, up: "Node | None", cut: bool = False, bonus: float = 0.0) -> None:
-        self.tag, self.up, self.cut, self.bonus = tag, up, cut, bonus
-        self.kids: list[Node | str] = []
-
-
-def _marks(tag: str, attributes: str) -> tuple[bool, float]:
-    """Whether the element is beside the article, and its bonus as a container."""
-    cut, bonus = tag in CUT, {"article": 30.0, "main": 20.0}.get(tag, 0.0)
+    """An element: ``cut`` 0 stays, 1 goes, 2 goes unless it holds most of the prose; ``first`` and ``last`` bound its events."""
+
+    __slots__ = ("tag", "up", "cut", "bonus", "kids", "block", "first", "last", "own", "links", "chars", "linked", "prose", "points")
+
+    def __init__(self, tag: str, up: Node | None, cut: int, bonus: float, first: int) -> None:
+        self.tag, self.up, self.cut, self.bonus, self.first, self.last = tag, up, cut, bonus, first, first
+        self.kids: list[Node] = []
+        self.block: Node = self if up is None or tag in BLOCKS else up.block
+        self.own: list[str] = []
+        self.links = self.chars = self.linked = self.prose = 0
+        self.points: float | None = None
+
+
+def _beside(name: str, parts: list[str]) -> int:
+    """Whether a class or id names a part beside the article: 0 no, 1 yes, 2 perhaps."""
+    words = set(parts)
+    if len(parts) == 1:
+        return int(parts[0] in BESIDE or parts[0] in ALONE)
+    if words & _STATES or words & _ARTICLE and words & (BESIDE | ALONE) <= _OWN:
+        return 0
+    return 1 if words & BESIDE else 2 if words & ALONE else 0
+
+
+def _marks(tag: str, attributes: str) -> tuple[int, float]:
+    """What becomes of the element, and its bonus as a container."""
+    cut, bonus = int(tag in CUT), {"article": 30.0, "main": 20.0}.get(tag, 0.0)
+    if tag == "form":
+        cut = 2
     if not attributes or attributes.isspace():
         return cut, bonus
-    parts: set[str] = set()
+    names, words = [], set()
     for name, a, b, c in _ATTRIBUTE.findall(attributes):
         name, value = name.lower(), a or b or c
         if name in ("class", "id"):
-            parts.update(p.lower() for p in _PARTS.findall(value))
+            for token in value.split():
+                parts = [p.lower() for p in _PARTS.findall(token)]
+                words.update(parts)
+                names.append((token, parts))
         elif name == "role":
-            cut = cut or value.lower() in CUT_ROLES
-            bonus += 20 * (value.lower() in ("main", "article"))
+            role = value.strip().lower()
+            cut = 1 if role in CUT_ROLES and tag != "form" else cut
+            bonus += 20 * (role in ("main", "article"))
         elif name == "hidden" or name == "aria-hidden" and value.lower() == "true" or name == "style" and "display:none" in value.replace(" ", "").lower():
-            cut = True
-    beside = parts & CUT_WORDS
-    if beside and tag not in ("body", "html", "article", "main") and (beside - _EITHER or not parts & _ARTICLE):
-        cut = True
-    elif parts & _GOOD:
+            cut = 1
+    if names and tag not in ("body", "html", "article", "main"):
+        found = {_beside(token, parts) for token, parts in names if parts}
+        # Of several names that of the article's container outweighs one of its own parts ("content toc").
+        if 1 in found and not (words & _ARTICLE and words & (BESIDE | ALONE) <= _OWN):
+            cut = 1
+        elif 2 in found and not cut:
+            cut = 2
+    if not cut and words & _GOOD:
         bonus += 15
     return cut, bonus
 
 
-def parse(page: str) -> Node:
-    root = Node("#root", None)
-    at, here, n = 0, root, len(page)
+def parse(page: str) -> tuple[list[Node], list[tuple[Node, str | None]]]:
+    """Elements in page order (a root first), and events: text with the element it stands in, None at the edges of blocks."""
+    root = Node("#root", None, 0, 0.0, 0)
+    nodes, events = [root], []
+    stack, open_, blocks_at = [root], {}, [0]
+    lost = 0  # the place in the stack of the first element that is cut for certain
+    at, n = 0, len(page)
+
+    def pop_to(k: int) -> None:
+        nonlocal lost
+        for i in range(len(stack) - 1, k - 1, -1):
+            node = stack.pop()
+            open_[node.tag].pop()
+            if blocks_at[-1] == i:
+                blocks_at.pop()
+                events.append((node, None))
+            node.last = len(events)
+        if lost >= len(stack):
+            lost = 0
+
+    def text(value: str) -> None:
+        if not lost and value:
+            events.append((stack[-1], value))
+
     while at < n:
         m = _TOKEN.search(page, at)
         if m is None:
-            here.kids.append(page[at:])
+            text(page[at:])
             break
         if m.start() > at:
-            here.kids.append(page[at : m.start()])
+            text(page[at : m.start()])
         at = m.end()
-        end, begin, attributes = m.groups()
-        if begin:
-            tag = begin.lower()
-            if tag in CLOSES_P:
-                here = _end_open_p(here)
-            if tag in IMPLIED:
-                ends, within = IMPLIED[tag]
-                up, last = here, None
-                while up is not root and up.tag not in within:
-                    if up.tag in ends:
-                        last = up
-                    up = up.up
-                here = last.up if last is not None else here
-            if tag == "br" or tag == "hr":
-                here.kids.append(Node(tag, here))
-                continue
-            if tag in VOID:
-                continue
-            cut, bonus = _marks(tag, attributes)
-            # A page's header goes; an article's own holds its headline.
-            cut = cut or tag == "header" and not _within(here, ("article", "main"))
-            node = Node(tag, here, cut, bonus)
-            here.kids.append(node)
-            if tag in RAW:
-                close = re.compile(rf"</{tag}(?=[\s/>])[^>]*(?:>|\Z)", re.I)
-                stop = close.search(page, at)
-                at = stop.end() if stop else n
-            elif not attributes.endswith("/") or tag not in ("svg", "math", "path"):
-                here = node
-        elif end:
-            tag = end.lower()
-            up = here
-            while up is not root and up.tag != tag:
-                # An inline end tag does not reach over a block; a block's end ends what is open in it.
-                if tag not in BLOCKS and up.tag in BLOCKS:
-                    up = root
-                    break
-                up = up.up
-            if up is not root:
-                here = up.up
-    return root
-
-
-def _within(node: Node, tags: tuple[str, ...]) -> bool:
-    up: Node | None = node
-    while up is not None and up.tag not in tags:
-        up = up.up
-    return up is not None
-
-
-def _end_open_p(here: Node) -> Node:
-    up = here
-    while up.up is not None and (up.tag not in BLOCKS or up.tag == "p"):
-        if up.tag == "p":
-            return up.up
-        up = up.up
-    # Inline elements left open end with the block they stand in.
-    return here
-
-
-def _walk(node: Node, out: list, link: bool) -> None:
-    """Blocks in page order: lists of (text, is link); None stands between blocks."""
-    for kid in node.kids:
-        if isinstance(kid, str):
-            out.append((kid, link))
-        elif kid.cut:
-            if kid.tag in BLOCKS:
-                out.append(None)
-        elif kid.tag in BLOCKS:
-            out.append(None)
-            _walk(kid, out, link)
-            out.append(None)
-        elif kid.tag == "br":
-            out.append((" ", link))
-        else:
-            _walk(kid, out, link or kid.tag == "a")
+        end, tag, attributes = m.groups()
+        if tag is None:
+            continue
+        tag = tag.lower()
+        if end:
+            places = open_.get(tag)
+            # An inline end tag does not reach over a block; a block's end ends what is open in it.
+            if places and (tag in BLOCKS or places[-1] > blocks_at[-1]):
+                pop_to(places[-1])
+            continue
+        if tag in CLOSES_P and stack[blocks_at[-1]].tag == "p":
+            pop_to(blocks_at[-1])
+        if tag in IMPLIED:
+            ends, within = IMPLIED[tag]
+            edge = max((open_[t][-1] for t in within if open_.get(t)), default=0)
+            over = [p[k] for t in ends if (p := open_.get(t)) and (k := bisect_right(p, edge)) < len(p)]
+            if over:
+                pop_to(min(over))
+        if tag == "br":
+            text(" ")
+            continue
+        if tag in VOID:
+            if tag == "hr":
+                events.append((stack[-1], None))
+            continue
+        cut, bonus = _marks(tag, attributes)
+        # A page's header goes; an article's own holds its headline.
+        if tag == "header" and not (open_.get("article") or open_.get("main")):
+            cut = 1
+        if tag in BLOCKS:
+            events.append((stack[-1], None))
+        node = Node(tag, stack[-1], cut, bonus, len(events))
+        stack[-1].kids.append(node)
+        nodes.append(node)
+        if tag in RAW:
+            stop = _CLOSERS[tag].search(page, at)
+            if cut != 1 and not lost:
+                events.append((node, page[at : stop.start() if stop else n]))
+            node.last = len(events)
+            at = stop.end() if stop else n
+        elif not (attributes.endswith("/") and (tag in ("svg", "math") or open_.get("svg") or open_.get("math"))):
+            if cut == 1 and not lost:
+                lost = len(stack)
+            open_.setdefault(tag, []).append(len(stack))
+            if tag in BLOCKS:
+                blocks_at.append(len(stack))
+            stack.append(node)
+    pop_to(1)
+    root.last = len(events)
+    return nodes, events
 
 
 def _clean(text: str) -> str:
     return _SPACE.sub(" ", html.unescape(text)).strip()
 
 
-def blocks(node: Node) -> list[str]:
-    parts: list = []
-    _walk(node, parts, False)
+def _blocks(events: list[tuple[Node, str | None]], spans: list[tuple[int, int]]) -> list[str]:
+    """The text blocks of some stretches of the page."""
     out, now = [], []
-    for p in [*parts, None]:
-        if p is None:
-            if now and (text := _clean("".join(now))):
-                out.append(text)
-            now = []
-        else:
-            now.append(p[0])
+    for first, last in spans:
+        for node, value in [*events[first:last], (None, None)]:
+            if value is None:
+                if now and (plain := _clean("".join(now))):
+                    out.append(plain)
+                now = []
+            elif not node.cut:
+                now.append(value)
     return out
 
 
-def _score(root: Node) -> dict[Node, list]:
-    """For every container: points, characters and characters inside links."""
+def _measure(nodes: list[Node], events: list[tuple[Node, str | None]]) -> None:
+    """Characters, characters in links, and prose of every element; then what is cut, for certain or for want of prose."""
+    linked = {}
+    for node in nodes:
+        linked[node] = node.tag == "a" or node.up is not None and linked[node.up]
+    for node, value in events:
+        if value is not None:
+            size = len(value.strip())
+            node.chars += size
+            node.block.own.append(value)
+            if linked[node]:
+                node.linked += size
+                node.block.links += size
+    for node in reversed(nodes):
+        if node.own:
+            size = len(plain := "".join(node.own).strip())
+            if node.links <= size / 2 and (size >= PROSE or size >= 25 and plain.endswith((".", "!", "?"))):
+                node.prose += size
+        if node.up is not None and node.cut != 1:
+            node.up.prose += node.prose
+    for node in nodes:
+        if node.up is not None and node.up.cut or node.cut == 2 and node.prose * 2 <= nodes[0].prose:
+            node.cut = 1
+        elif node.cut == 2:
+            node.cut = 0
+    for node in reversed(nodes):
+        if node.up is not None and not node.cut:
+            node.up.chars += node.chars
+            node.up.linked += node.linked
+
+
+_LEAVES = frozenset("p pre blockquote li dd td h1 h2 h3 h4 h5 h6".split())
+
+
+def _score(nodes: list[Node], events: list[tuple[Node, str | None]]) -> dict[Node, float]:
+    """Points of every container, discounted by its link density."""
+    for node in nodes:
+        node.own = []
+    for node, value in events:
+        if value is not None and not node.cut:
+            node.block.own.append(value)
     points: dict[Node, float] = {}
-    sizes: dict[Node, list[int]] = {}
-
-    def visit(node: Node, link: bool) -> tuple[int, int, str]:
-        chars = links = 0
-        own: list[str] = []
-        for kid in node.kids:
-            if isinstance(kid, str):
-                k = len(kid.strip())
-                chars += k
-                links += k if link else 0
-                own.append(kid)
-            elif not kid.cut:
-                c, l, text = visit(kid, link or kid.tag == "a")
-                chars += c
-                links += l
-                if kid.tag not in BLOCKS:
-                    own.append(text)
-        sizes[node] = [chars, links]
-        text = "".join(own)
-        if (node.tag in BLOCKS or node.up is None) and len(text) >= 25 and (plain := _clean(text)) and len(plain) >= 25:
-            # Bare text in a container is a paragraph of that container.
-            value = 1 + plain.count(",") + plain.count("、") + plain.count("，") + min(len(plain) / 100, 3)
-            target = node.up if node.tag in ("p", "pre", "blockquote", "li", "dd", "td", "h1", "h2", "h3", "h4", "h5", "h6") and node.up is not None else node
-            for share in (1, 2, 3):
-                if target is None:
-                    break
-                points[target] = points.get(target, 0.0) + value / share
-                target = target.up
-        return chars, links, text
-
-    visit(root, False)
-    return {n: [(p + n.bonus) * (1 - sizes[n][1] / max(1, sizes[n][0])), *sizes[n]] for n, p in points.items()}
+    # From the last to the first, so that of equal containers the inner one comes first.
+    for node in reversed(nodes):
+        if node.cut or not node.own:
+            continue
+        text = "".join(node.own)
+        if len(text) < 25 or len(plain := _clean(text)) < 25:
+            continue
+        # Bare text in a container is a paragraph of that container.
+        value = 1 + plain.count(",") + plain.count("、") + plain.count("，") + min(len(plain) / 100, 3)
+        target = node.up if node.tag in _LEAVES and node.up is not None else node
+        for share in (1, 2, 3):
+            if target is None:
+                break
+            points[target] = points.get(target, 0.0) + value / share
+            target = target.up
+    return {n: (p + n.bonus) * (1 - n.linked / max(1, n.chars)) for n, p in points.items()}
 
 
 def extract(page: str) -> str:
     """The page's main text; empty if it has none."""
-    root = parse(page)
-    scored = _score(root)
+    nodes, events = parse(page)
+    _measure(nodes, events)
+    scored = _score(nodes, events)
     if not scored:
-        return "\n".join(blocks(root))
-    best = max(scored, key=lambda n: scored[n][0])
+        return "\n".join(_blocks(events, [(0, len(events))]))
+    best = max(scored, key=scored.__getitem__)
     # Climb while the parent holds clearly more article text in containers of the same kind.
-    while best.up is not None and best.up.up is not None and best.up in scored and scored[best.up][0] >= 0.75 * scored[best][0] and best.tag not in ("article", "main", "body"):
+    while best.up is not None and best.up.up is not None and best.up in scored and scored[best.up] >= 0.75 * scored[best] and best.tag not in ("article", "main", "body"):
         best = best.up
     if best.up is None or best.tag in ("body", "html"):
-        return "\n".join(blocks(best))
-    keep, least = Node("#kept", None), max(10.0, scored[best][0] * 0.2)
+        return "\n".join(_blocks(events, [(best.first, best.last)]))
+    spans, least = [], max(10.0, scored[best] * 0.2)
     for kid in best.up.kids:
-        if kid is best:
-            keep.kids.append(kid)
-        elif isinstance(kid, Node) and not kid.cut:
-            points, chars, links = scored.get(kid, [0.0, 0, 0])
-            if points >= least:
-                keep.kids.append(kid)
-            elif kid.tag == "p" and best.tag not in ("article", "main"):
-                text = " ".join(blocks(kid))
-                if len(text) > 80 or text.endswith((".", "!", "?")):
-                    keep.kids.append(kid)
-    return "\n".join(blocks(keep))
+        if kid is best or not kid.cut and scored.get(kid, 0.0) >= least:
+            spans.append((kid.first, kid.last))
+        elif not kid.cut and kid.tag == "p" and best.tag not in ("article", "main"):
+            text = " ".join(_blocks(events, [(kid.first, kid.last)]))
+            if len(text) > PROSE or text.endswith((".", "!", "?")):
+                spans.append((kid.first, kid.last))
+    return "\n".join(_blocks(events, spans))
 
 
 def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:

@@ -120,11 +120,69 @@ def test_html_marks(mark, kept):
     assert ("Marked" in htmltext.extract(page)) == kept
 
 
-@pytest.mark.parametrize("page", ["", "plain text", "<", "<p", "</p>", "<!-- open", "<script>never closed", "<p><b><i>" * 50, "<div>" * 300 + "x", "&#xFFFFFFFF; &bad; &", "<a href='>'>x</a>", "\x00<p>\x01</p>"])
+@pytest.mark.parametrize("page", ["", "plain text", "<", "<p", "</p>", "<!-- open", "<script>never closed", "<p><b><i>" * 50, "<div>" * 300 + "x", "&#xFFFFFFFF; &bad; &", "<a href='>'>x</a>", "\x00<p>\x01</p>", "</>x", "<a =x y= '", "<!-->x"])
 def test_html_never_fails(page):
     assert isinstance(htmltext.extract(page), str)
 
 
+@pytest.mark.parametrize("tags", ["<div>", "<span>", "<p><b>", "<ul><li>", "<div><form><i>", "<table><tr><td>", "<b><p>"])
+def test_html_depth(tags):
+    """A hundred thousand open elements fail no page and take no quadratic time."""
+    import time
+
+    began = time.perf_counter()
+    got = htmltext.extract(tags * (100_000 // tags.count("<")) + f"<p>{PROSE}</p>" + "</b>" * 1000 + f"<p>{PROSE}")
+    assert got.split("\n") == [" ".join(PROSE.split())] * 2 and time.perf_counter() - began < 20
+
+
+@pytest.mark.parametrize(
+    "wrap, kept",
+    [
+        ("<p data-x=it's>{0}</p><p>{0}</p>", 2), ("<p title='it\"s > 1'>{0}</p><p a=\"x'>\">{0}</p>", 2), ("<p a'b>{0}</p><p>{0}</p>", 2), ("<p a= >{0}</p><p =b>{0}</p>", 2),
+        ("<form id='aspnetForm'><div><p>{0}</p><p>{0}</p></div></form>", 2), ("<div class='share-price-report'><p>{0}</p><p>{0}</p></div>", 2), ("<div class='no-sidebar comments-open'><p>{0}</p></div>", 1),
+        ("<div class='social-share'><p>{0}</p></div><div><p>{0}</p><p>{0}</p></div>", 2), ("<article><p>{0}</p></article><div class='comment-list'><p>{0}</p><p>{0}</p><p>{0}</p></div>", 1),
+        ("<form><p>{0}</p></form><div><p>{0}</p><p>{0}</p></div>", 2), ("<template><template><p>{0}</p></template><p>{0}</p></template><p>{0}</p>", 1), ("<svg><circle/><text/></svg><p>{0}</p>", 1), ("<p>{0}<!-- a > b --></p><!--> <p>{0}</p>", 2),
+    ],
+)
+def test_html_attributes_and_names(wrap, kept):
+    line = " ".join(PROSE.split())
+    assert htmltext.extract("<body><div>" + wrap.format(PROSE) + "</div></body>").split("\n") == [line] * kept
+
+
+def test_html_against_generated_articles():
+    """Pages around a known article, in several layouts: the text is the article's blocks, whatever stands beside it."""
+    rng = random.Random(17)
+    words = "river stone window garden letter morning silver people market story & é — «q» 100".split()
+
+    def sentence(n):
+        return " ".join(rng.choice(words) for _ in range(n)).capitalize() + ", and so on."
+
+    def marked(text):
+        return text.replace("&", "&amp;").replace("é", "&eacute;").replace(" ", rng.choice([" ", "\n  ", " "]), 1)
+
+    for _ in range(60):
+        parts, html = [], []
+        for k in range(rng.randint(3, 9)):
+            kind = rng.choice(["p", "p", "p", "h2", "ul", "blockquote"]) if k else "h1"
+            if kind == "ul":
+                items = [sentence(rng.randint(8, 14)) for _ in range(rng.randint(2, 4))]
+                parts += items
+                html.append("<ul>" + "".join(f"<li>{marked(i)}" for i in items) + "</ul>")
+            else:
+                text = sentence(5 if kind[0] == "h" else rng.randint(25, 80))
+                parts.append(text)
+                inner = marked(text)
+                if kind == "p" and rng.random() < 0.4:
+                    first, _, more = inner.partition(" ")
+                    inner = f"<b>{first} <a href='/x?a=1&b=2'>{more.split(' ')[0]}</a> " + " ".join(more.split(" ")[1:]) + ("</b>" if rng.random() < 0.5 else "")
+                html.append(f"<{kind}>{inner}" + (f"</{kind}>" if kind != "p" or rng.random() < 0.6 else ""))
+        beside = [f"<nav><ul><li><a href=/>{sentence(3)}</a></ul></nav>", f"<div class='sidebar'><p>{sentence(30)}</p></div>", f"<aside><p>{sentence(30)}</p></aside>", f"<div id=cookie-notice>{sentence(25)}</div>", f"<script>var a = '<p>{sentence(30)}</p>'</script>", "<!-- <p>gone</p> -->", f"<div class=ad><p>{sentence(20)}</p></div>"]
+        after = [f"<section id='comments'><div class=comment><p>{sentence(40)}</p></div></section>", f"<footer><p>{sentence(20)}</p></footer>", "<form><input name=q><button>Go</button></form>", f"<div class='related-posts'><p>{sentence(20)}</p></div>"]
+        body = rng.choice(["<article>{}</article>", "<main><div class=content>{}</div></main>", "<div id=wrap><div class='post-body'>{}</div></div>", "<form action=/><div><div>{}</div></div></form>", "<div class='legal-report-view'>{}</div>"]).format("".join(html))
+        page = "<!doctype html><html><head><title>t</title></head><body>" + "".join(rng.sample(beside, 3)) + body + "".join(rng.sample(after, 2)) + "</body></html>"
+        assert htmltext.extract(page).split("\n") == parts, page
+
+
 def test_html_pages_table(spark):
     pages = spark.createDataFrame([(1, "u", None, 1), (2, None, "", 2), (None, "v", f"<article><p>{PROSE}</p></article>", 3)], "page_id long, url string, html string, text int")
     rows = {r["page_id"]: r for r in htmltext.main_text(pages).collect()}
