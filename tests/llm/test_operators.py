@@ -42,15 +42,28 @@ def test_decontamination_tables(spark, table, monkeypatch):
         assert rows[1]["n_hit"] == 14 and rows[1]["items"] == ["1"] and [tuple(s) for s in rows[1]["spans"]] == [(1, 15)]
         assert rows[4]["n_hit"] == 5 and rows[4]["items"] == ["2"]
         assert rows[2]["n_words"] == rows[3]["n_words"] == rows[5]["n_hit"] == 0
-    kept = decontaminate.clean(docs, benchmark)
-    assert kept.columns == docs.columns
-    texts = {r["doc_id"]: r["text"] for r in kept.collect()}
-    assert texts[1].startswith("before after this") and 4 not in texts and texts[2] is None and texts[3] == "" and texts[5] == "clean"
-    assert kept.count() == 5
+        kept = decontaminate.clean(docs.withColumn("_sw_h", docs["doc_id"]).withColumn("items", docs["text"]), benchmark)
+        assert kept.columns == [*docs.columns, "_sw_h", "items"]
+        texts = {r["doc_id"]: r["text"] for r in kept.collect()}
+        assert texts[1].startswith("before after this") and 4 not in texts and texts[2] is None and texts[3] == "" and texts[5] == "clean"
+        assert kept.count() == 5
     none = benchmark.limit(0)
     assert decontaminate.contamination(docs, none).where("n_hit > 0").count() == 0 and decontaminate.contamination(docs.limit(0), benchmark).count() == 0
 
 
+def test_automaton_memory():
+    """An automaton of a hundred thousand words takes about twenty megabytes, so the bound of one block is about a hundred."""
+    import tracemalloc
+
+    rng = random.Random(9)
+    vocabulary = [f"word{i}".encode() for i in range(5000)]
+    items = [(str(i), [rng.choice(vocabulary) for _ in range(100)]) for i in range(1000)]
+    tracemalloc.start()
+    kept = decontaminate.Automaton(items, 10)
+    assert tracemalloc.get_traced_memory()[0] < 30 << 20 and kept.scan(items[7][1][20:40])[1] == {"7"}
+    tracemalloc.stop()
+
+
 @pytest.mark.parametrize("n", [0, 1, 575, 576, 577, 30_000])
 def test_png_round_trip(n):
     for text in (os.urandom(n), b"a" * n):
