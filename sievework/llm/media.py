@@ -7,8 +7,8 @@ sizes and the filter bytes, then undoes the filters in numpy. The feature is a 6
 the lowest 8 by 8 cosine-transform coefficients of the image reduced to 32 by 32, against their median.
 
 Defined results: null and empty texts are one block of padding; equal texts give equal values;
-a long text is one image of as many rows as it needs (at most 2**31 - 1, a PNG's limit);
-other columns are ignored.
+a long text is one image of as many rows as it needs (at most 2**31 - 1, a PNG's limit), made in
+one task; repeated rows are rows like others; an empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations

@@ -98,8 +98,8 @@ def _anchors_of_piece(values: np.ndarray, lo: np.ndarray, hi: np.ndarray, window
     return begin, end - begin, grams[at], span_hashes(values, begin, end - 1 + window)
 
 
-def anchors(values: np.ndarray, offsets: np.ndarray, window: int, gram: int) -> tuple[np.ndarray, ...]:
-    """Runs of all documents: document, start in it, length, anchor hash, context hash (the hashes as int64)."""
+def anchors(seq: np.ndarray, offsets: np.ndarray, window: int, gram: int, values: Callable[[np.ndarray], np.ndarray] = lambda x: x) -> tuple[np.ndarray, ...]:
+    """Runs of all documents: document, start in it, length, anchor hash, context hash (the hashes as int64). ``values`` is taken piece by piece."""
     out: list[tuple[np.ndarray, ...]] = []
     sizes = np.diff(offsets)
     for i, j in pieces(sizes, PIECE):
@@ -115,7 +115,7 @@ def anchors(values: np.ndarray, offsets: np.ndarray, window: int, gram: int) ->
             use = hi > lo
             if not use.any():
                 continue
-            begin, length, h, c = _anchors_of_piece(values[first:stop], lo[use], hi[use], window, gram)
+            begin, length, h, c = _anchors_of_piece(values(seq[first:stop]), lo[use], hi[use], window, gram)
             ids = np.arange(i, j)[use]
             doc = ids[np.searchsorted(lo[use], begin, "right") - 1]
             out.append((doc, begin + first - offsets[doc], length, h.view(np.int64), c.view(np.int64)))
@@ -145,7 +145,7 @@ def _run_rows(units: Units):
         for batch in batches:
             data, at = utf8(batch.column(2))
             seq, offsets = units.split(data, at)
-            doc, start, length, h, c = anchors(units.values(seq), offsets, units.window, units.gram)
+            doc, start, length, h, c = anchors(seq, offsets, units.window, units.gram, units.values)
             d, p = longs(batch.column(0))[doc], (longs(batch.column(1))[doc] << 31) | start
             order = np.lexsort((p, d, c, h))
             doc, d, p, length, h, c = (x[order] for x in (doc, d, p, length, h, c))
@@ -250,15 +250,13 @@ def _cut_contexts(units: Units):
             p, n = longs(fields["p"]), longs(fields["n"])
             begin = offsets[np.repeat(np.arange(len(per)), per)] + (p & (2**31 - 1))
             size = n + units.window - 1
-            ends = np.cumsum(size)
-            take = np.arange(ends[-1] if len(ends) else 0) + np.repeat(begin - (ends - size), size)
-            body = np.ascontiguousarray(seq[take])
-            width = body.dtype.itemsize
-            column = pa.Array.from_buffers(pa.binary(), len(p), [None, pa.py_buffer(np.concatenate(([0], ends * width)).astype(np.int32)), pa.py_buffer(body)])
             # In slices, as the contexts of a text repeated within itself can exceed a batch.
-            out = pa.RecordBatch.from_arrays([fields["kind"], fields["h"], fields["part"], fields["d"], fields["p"], fields["n"], column], ["kind", "h", "part", "d", "p", "n", "units"])
             for i in range(0, len(p), 20_000):
-                yield out.slice(i, 20_000)
+                s, ends = size[i : i + 20_000], np.cumsum(size[i : i + 20_000])
+                take = np.arange(ends[-1]) + np.repeat(begin[i : i + 20_000] - (ends - s), s)
+                body = np.ascontiguousarray(seq[take])
+                column = pa.Array.from_buffers(pa.binary(), len(s), [None, pa.py_buffer(np.concatenate(([0], ends * body.dtype.itemsize)).astype(np.int32)), pa.py_buffer(body)])
+                yield pa.RecordBatch.from_arrays([*(fields[f].slice(i, 20_000) for f in ("kind", "h", "part", "d", "p", "n")), column], ["kind", "h", "part", "d", "p", "n", "units"])
 
     return run
 
@@ -333,7 +331,7 @@ def repeated_starts(docs: DataFrame, units: Units, dtype: type) -> DataFrame:
     release(docs.sparkSession)
     here = F.shiftright("p", 31).alias("x")
     lists = found.where("kind > 0").groupBy("d", here).agg(F.collect_list(F.struct("kind", "h", "part", "d", "p", "n")).alias("runs"))
-    cut = texts.join(lists.hint("shuffle_hash"), ["d", "x"]).select("text", "runs").mapInArrow(_cut_contexts(units), CONTEXTS)
+    cut = texts.join(lists.hint("merge"), ["d", "x"]).select("text", "runs").mapInArrow(_cut_contexts(units), CONTEXTS)
     indexed = stored(cut.repartition("h", "part").sortWithinPartitions("h", "part").mapInArrow(_index_blocks(units, dtype), REPEATED), "indexed")
     release(docs.sparkSession)
     dealt = indexed.where("w is not null").select("d", "p", "w")
@@ -352,7 +350,7 @@ def _keyed(docs: DataFrame) -> DataFrame:
 def with_spans(docs: DataFrame, spans: DataFrame) -> DataFrame:
     """doc_id, text and spans (null: none) of every document."""
     keyed = docs.select("doc_id", *[c.alias(n) for c, n in ((F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)), "d"), (F.crc32(F.coalesce(F.col("text"), F.lit("")).cast("binary")), "x"), (F.col("text"), "text"))])
-    return keyed.join(spans.hint("shuffle_hash"), ["d", "x"], "left").select("doc_id", "text", "spans")
+    return keyed.join(spans.hint("merge"), ["d", "x"], "left").select("doc_id", "text", "spans")
 
 
 def covered(starts: np.ndarray, counts: np.ndarray, window: int, n: int) -> np.ndarray:

@@ -3,13 +3,15 @@
 Rows of each source are shuffled by a seed and ranked; row r of a source of n rows stands at
 the fraction (r + 1/2) / n. Sorted by that fraction, every stretch of the table holds the
 sources in the mixture's proportions, so cutting the order into equal counts gives shards that
-match the mixture. The law kept is ``rows``: counts of shards differ by one at most.
+match the mixture. The law kept is ``rows``: counts of shards differ by one at most. It does not
+keep equal texts together: copies are rows with places of their own.
 
 Both ranks are exact and need no single-task sort (see :mod:`ranks`).
 
 Defined results: a null source is a source of its own, sorted first among equal fractions; a
 null text has no bytes; repeated rows are rows like others (ties are interchangeable); an empty
-table gives no rows; input columns named like an output column are replaced.
+table gives no rows; a very long text is read and not moved by ``assign``; in ``shard_rows`` input columns named
+shard or slot are replaced, and others stay, whatever their names.
 """
 
 from __future__ import annotations

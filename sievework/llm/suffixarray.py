@@ -11,7 +11,8 @@ input, not on what is left.
 
 Defined results: a null text is empty; a text under 100 bytes loses nothing; a null doc_id
 stands before all others; rows with equal id and text are one document, each returned with the
-same result; a text may be of any length (it is handled in pieces); other columns are ignored.
+same result; a text may be of any length (it is handled in pieces, and held whole in one task);
+an empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -85,27 +86,35 @@ def suffix_array(text: np.ndarray, depth: int | None = None) -> np.ndarray:
     cuts = np.searchsorted(text[direct], np.arange(257))
     queues: list[list[np.ndarray]] = [[] for _ in range(256)]
 
-    def induce(places: np.ndarray, c: int) -> np.ndarray:
-        """Send the predecessors of ``places`` that are larger to their buckets; return those in this one."""
+    def induce(places: np.ndarray, c: int) -> None:
+        """Send the predecessors of ``places`` that are larger to their buckets, but for those in bucket ``c``."""
         before = places[places > 0] - 1
         before = before[~up[before]]
         first = text[before]
-        same = before[first == c]
         rest, first = before[first != c], first[first != c]
         by = np.argsort(first, kind="stable")
         rest, first = rest[by], first[by]
         edge = np.flatnonzero(np.diff(first)) + 1
         for part in np.split(rest, edge) if len(rest) else ():
             queues[text[part[0]]].append(part)
-        return same
+
+    # How many equal bytes stand right before each position.
+    new = np.concatenate(([True], text[1:] != text[:-1]))
+    equal = np.arange(n) - np.maximum.accumulate(np.where(new, np.arange(n), 0))
 
     queues[text[n - 1]].append(np.array([n - 1]))
     out = []
     for c in range(256):
         falling = np.concatenate(queues[c]) if queues[c] else np.zeros(0, np.int64)
-        while len(falling):
+        if len(falling):
+            # Predecessors in the same bucket are larger suffixes with one more of the byte: a stretch of
+            # it goes at once, all with one more, then all with two more, each in the order given.
+            size = equal[falling] + 1
+            more = np.arange(int(size.sum())) - np.repeat(np.cumsum(size) - size, size)
+            by = np.argsort(more, kind="stable")
+            falling = (np.repeat(falling, size) - more)[by]
             out.append(falling)
-            falling = induce(falling, c)
+            induce(falling, c)
         if cuts[c + 1] > cuts[c]:
             own = direct[cuts[c] : cuts[c + 1]]
             out.append(own)

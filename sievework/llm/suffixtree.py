@@ -10,11 +10,12 @@ are built over blocks of candidate contexts that :mod:`repeats` brings together.
 (in a smaller doc_id, or in the same document at an earlier start), judged on the input.
 
 Words are runs of bytes other than space and 0x09 to 0x0D, unchanged. Words are compared by
-64-bit hashes, windows by the sequence of them.
+64-bit hashes (words over 1 024 bytes by BLAKE2b), windows by the sequence of them.
 
 Defined results: a null text has no words; a text under 20 words loses nothing; a null doc_id
 stands before all others; rows with equal id and text are one document, each returned with the
-same result; a text may be of any length; other columns are ignored.
+same result; a text may be of any length (hashed in pieces; its words are held in one task, at about
+60 bytes a word); an empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations

@@ -161,3 +161,17 @@ def test_classes_agree_between_both_indexes():
         want = [known.setdefault(tuple(x[s : s + w]), len(known)) for b, c in zip(begin, counts) for s in range(b, b + c)]
         for got in (suffixarray.window_classes(x, begin, counts, w), suffixtree.window_classes(x.astype(np.uint64), begin, counts, w, 4)):
             assert len(set(zip(want, got.tolist()))) == len(set(want)) == len(set(got.tolist()))
+
+
+def test_stretches_of_one_byte():
+    """Half a megabyte of one byte is no loop over its length; the order stays that of the suffixes."""
+    import time
+
+    began = time.perf_counter()
+    order = suffixarray.suffix_array(np.full(500_000, 97, np.uint8), 100)
+    assert (order == np.arange(500_000)[::-1]).all() and time.perf_counter() - began < 5
+    rng = np.random.default_rng(3)
+    for _ in range(60):
+        text = np.repeat(rng.integers(97, 100, 12), rng.integers(1, 9, 12)).astype(np.uint8)
+        raw = text.tobytes()
+        assert suffixarray.suffix_array(text).tolist() == sorted(range(len(raw)), key=lambda i: raw[i:])
