@@ -37,7 +37,7 @@ class Fetch:
     connect_timeout_s: float = 10.0
     max_retries: int = 3
     max_concurrency: int = 50
-    user_agent: str = "sievework/0.1 (research)"
+    user_agent: str = "sievework corpus builder"
     accept_content_types: tuple[str, ...] = ("text/html", "text/plain")
     render_fallback: bool = False
 

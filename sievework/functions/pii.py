@@ -19,9 +19,18 @@ KINDS = (
 )
 
 
+#: What every match holds: texts without it are not searched with the pattern itself.
+_NEEDED = {KINDS[0][1]: "@", KINDS[1][1]: rf"{_D}{{3}}", KINDS[2][1]: rf"{_D}\.{_D}"}
+
+
+def possible(c: Column, pattern: str) -> Column:
+    needed = _NEEDED.get(pattern)
+    return F.lit(True) if needed is None else F.contains(c, F.lit(needed)) if needed == "@" else c.rlike(needed)
+
+
 def count(c: Column, pattern: str) -> Column:
-    return F.regexp_count(c, F.lit(pattern))
+    return F.when(possible(c, pattern), F.regexp_count(c, F.lit(pattern))).when(c.isNotNull(), F.lit(0))
 
 
 def replace(c: Column, pattern: str, token: str) -> Column:
-    return F.regexp_replace(c, pattern, token)
+    return F.when(possible(c, pattern), F.regexp_replace(c, pattern, token)).otherwise(c)

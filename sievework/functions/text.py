@@ -42,6 +42,11 @@ def words(c: Column) -> Column:
     return F.regexp_extract_all(c, F.lit(WORD), F.lit(0))
 
 
+def lower_words(c: Column) -> Column:
+    """Words, each in lower case: lowering first would split those whose lower case has a combining mark (U+0130)."""
+    return F.transform(words(c), F.lower)
+
+
 def word_count(c: Column) -> Column:
     return F.regexp_count(c, F.lit(WORD))
 
@@ -76,7 +81,7 @@ def stopword_fraction(c: Column) -> Column:
         hits = F.size(F.filter(found, lambda w: w.isin(STOPWORDS)))
         return F.when(F.size(found) > 0, hits / F.size(found))
 
-    return bound(words(F.lower(c)), fraction)
+    return bound(lower_words(c), fraction)
 
 
 def bound(value: Column, body) -> Column:
@@ -92,4 +97,4 @@ def shingles(c: Column, k: int) -> Column:
         runs = F.transform(F.sequence(F.lit(1), F.greatest(n - (k - 1), F.lit(1))), lambda i: F.array_join(F.slice(found, i, k), " "))
         return F.array_distinct(F.when(n < k, found).otherwise(runs))
 
-    return bound(words(F.lower(c)), grams)
+    return bound(lower_words(c), grams)

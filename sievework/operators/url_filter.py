@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..config import UrlFilter
-from ..functions.urls import SUFFIXES, canonical_url, url_domain, url_path
+from ..functions.urls import SUFFIXES, Suffixes, canonical_url, url_domain, url_path
 
 
 def first_by_position(df: DataFrame, key: str, position: str = "input_pos") -> DataFrame:
@@ -33,7 +33,7 @@ def has_extension(url: Column, extensions: tuple[str, ...]) -> Column:
     return out
 
 
-def judged(urls: DataFrame, cfg: UrlFilter, suffixes: tuple[str, ...] = SUFFIXES) -> DataFrame:
+def judged(urls: DataFrame, cfg: UrlFilter, suffixes: Suffixes = SUFFIXES) -> DataFrame:
     """input_pos, raw_url, url (canonical), domain and rejected: null, or why the URL goes."""
     out = urls.withColumn("url", canonical_url(F.col("raw_url"), cfg.drop_query_prefixes)).withColumn("domain", url_domain(F.col("url"), suffixes))
     allow, deny = [d.lower() for d in cfg.allow_domains], [d.lower() for d in cfg.deny_domains]
@@ -48,12 +48,12 @@ def judged(urls: DataFrame, cfg: UrlFilter, suffixes: tuple[str, ...] = SUFFIXES
     return out.withColumn("rejected", F.coalesce("_code", F.when(F.col("_is_first").isNull(), "duplicate_url"))).drop("_code", "_is_first")
 
 
-def filter_urls(urls: DataFrame, cfg: UrlFilter, suffixes: tuple[str, ...] = SUFFIXES) -> DataFrame:
+def filter_urls(urls: DataFrame, cfg: UrlFilter, suffixes: Suffixes = SUFFIXES) -> DataFrame:
     """input_pos, raw_url, url, domain of the URLs that pass; when disabled all pass as they are."""
     if not cfg.enabled:
         return urls.withColumn("url", F.col("raw_url")).withColumn("domain", url_domain(F.col("url"), suffixes))
     return judged(urls, cfg, suffixes).where("rejected is null").drop("rejected")
 
 
-def rejected_urls(urls: DataFrame, cfg: UrlFilter, suffixes: tuple[str, ...] = SUFFIXES) -> DataFrame:
+def rejected_urls(urls: DataFrame, cfg: UrlFilter, suffixes: Suffixes = SUFFIXES) -> DataFrame:
     return judged(urls, cfg, suffixes).where("rejected is not null")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import gc
 import re
+import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -33,8 +34,13 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 
 
 def release(spark: SparkSession) -> None:
-    """Let the context cleaner remove the shuffle files of jobs that are over."""
+    """Let the context cleaner remove the shuffle files of jobs that are over.
+
+    Objects that Python has let go are let go in the JVM about once a second; only then does a
+    collection there find the shuffles unused.
+    """
     gc.collect()
+    time.sleep(1.2)
     spark.sparkContext._jvm.System.gc()
 
 

@@ -8,6 +8,7 @@ import urllib.request
 from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from http.client import HTTPConnection, HTTPSConnection
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -25,17 +26,43 @@ class Response:
     body: str
 
 
+def _opener(connect_s: float, read_s: float) -> urllib.request.OpenerDirector:
+    """Follows redirects; connections have a time limit of their own, and then the one of reads."""
+
+    def timed(base):
+        class Timed(base):
+            def connect(self):
+                self.timeout = connect_s
+                super().connect()
+                self.sock.settimeout(read_s)
+
+        return Timed
+
+    class Plain(urllib.request.HTTPHandler):
+        def http_open(self, request):
+            return self.do_open(timed(HTTPConnection), request)
+
+    class Secure(urllib.request.HTTPSHandler):
+        def https_open(self, request):
+            return self.do_open(timed(HTTPSConnection), request)
+
+    return urllib.request.build_opener(Plain, Secure)
+
+
 def get(url: str, cfg: Fetch) -> Response:
     """One GET that follows redirects."""
     request = urllib.request.Request(url, headers={"User-Agent": cfg.user_agent})
     try:
-        with urllib.request.urlopen(request, timeout=cfg.timeout_s) as r:
+        with _opener(cfg.connect_timeout_s, cfg.timeout_s).open(request) as r:
             raw, kind = r.read(), r.headers.get("Content-Type", "")
             return Response(r.status, r.url, kind, raw.decode(r.headers.get_content_charset() or "utf-8", "replace"))
     except urllib.error.HTTPError as e:
         return Response(e.code, e.url, e.headers.get("Content-Type", ""), "")
 
 
+# Seconds to wait after the first failure, more by as many after each, up to a limit.
+BACK_OFF_S, MOST_BACK_OFF_S = 2, 8
+
 _FETCHED = "input_pos long, status_code int, final_url string, content_type string, html string, fetched_at long, fetch_error string"
 
 
@@ -47,7 +74,7 @@ def _one(pos: int, url: str, cfg: Fetch, call: Callable[[str, Fetch], Response],
             return pos, r.status, r.url, r.content_type, r.body, int(time.time()), None
         except Exception as e:  # noqa: BLE001  whatever goes wrong is tried again and then recorded
             error = f"{type(e).__name__}: {e}"
-            sleep(min(2 * (attempt + 1), 8))
+            sleep(min(BACK_OFF_S * (attempt + 1), MOST_BACK_OFF_S))
     return pos, None, None, None, None, None, error
 
 

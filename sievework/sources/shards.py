@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import itertools
+from collections.abc import Iterable
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -26,28 +30,39 @@ def with_shard(rows: DataFrame, shard_size: int, position: str = "input_pos") ->
 def write_shards(rows: DataFrame, out_dir: str, columns: list[str], fmt: str = "parquet", shard_size: int = 50000) -> int:
     """Write <out_dir>/shards/shard_00000.<fmt> and on, replacing older shards; the number of shards.
 
-    Every file is written by one task of a distributed job into a temporary folder of the same
-    store, then renamed into place.
+    Every shard is written as one file by one task of a distributed job (whatever the session's limit
+    of records a file), in a temporary folder of the same store. The new shards are complete, and
+    counted, before the old ones go.
     """
     if fmt not in ("parquet", "jsonl"):
         raise ValueError(f"format {fmt!r}")
     spark = rows.sparkSession
-    target, temporary = f"{out_dir.rstrip('/')}/shards", f"{out_dir.rstrip('/')}/_shards_tmp"
+    target, temporary, made, old = (f"{out_dir.rstrip('/')}/{name}" for name in ("shards", "_shards_tmp", "_shards_new", "_shards_old"))
     cut = with_shard(rows.select("input_pos", *columns), shard_size)
-    writer = cut.repartition("shard_id").sortWithinPartitions("shard_id", "input_pos").drop("input_pos").write.mode("overwrite").partitionBy("shard_id")
+    writer = cut.repartition("shard_id").sortWithinPartitions("shard_id", "input_pos").drop("input_pos").write.mode("overwrite").option("maxRecordsPerFile", 0).partitionBy("shard_id")
     writer.parquet(temporary) if fmt == "parquet" else writer.option("ignoreNullFields", "false").json(temporary)
     fs, path = _store(spark, temporary)
-    fs.delete(path(target), True)
-    fs.mkdirs(path(target))
-    count = 0
-    for folder in fs.listStatus(path(temporary)):
-        name = folder.getPath().getName()
-        if name.startswith("shard_id="):
-            files = [f.getPath() for f in fs.listStatus(folder.getPath()) if f.getPath().getName().startswith("part-")]
-            fs.rename(files[0], path(f"{target}/shard_{int(name[9:]):05d}.{fmt}"))
-            count += 1
-    fs.delete(path(temporary), True)
-    return count
+    for left_over in (made, old):
+        fs.delete(path(left_over), True)
+    fs.mkdirs(path(made))
+
+    def place(folder) -> None:
+        files = [f.getPath() for f in fs.listStatus(folder) if f.getPath().getName().startswith("part-")]
+        if len(files) != 1:
+            raise RuntimeError(f"{folder.getName()} has {len(files)} files")
+        if not fs.rename(files[0], path(f"{made}/shard_{int(folder.getName()[9:]):05d}.{fmt}")):
+            raise RuntimeError(f"{files[0]} cannot be renamed")
+
+    folders = [f.getPath() for f in fs.listStatus(path(temporary)) if f.getPath().getName().startswith("shard_id=")]
+    with ThreadPoolExecutor(16) as pool:
+        list(pool.map(place, folders))
+    if fs.exists(path(target)) and not fs.rename(path(target), path(old)):
+        raise RuntimeError(f"{target} cannot be replaced")
+    if not fs.rename(path(made), path(target)):
+        raise RuntimeError(f"{made} cannot be renamed; the former shards are in {old}")
+    for done in (old, temporary):
+        fs.delete(path(done), True)
+    return len(folders)
 
 
 def _store(spark: SparkSession, location: str):
@@ -55,12 +70,14 @@ def _store(spark: SparkSession, location: str):
     return path(location).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), path
 
 
-def write_text(spark: SparkSession, location: str, text: str) -> None:
-    """A small driver-side file in whatever store the location names."""
+def write_text(spark: SparkSession, location: str, text: str | Iterable[str]) -> None:
+    """A driver-side file in whatever store the location names, from one string or piece by piece."""
     fs, path = _store(spark, location)
     out = fs.create(path(location), True)
+    pieces = iter((text,) if isinstance(text, str) else text)
     try:
-        out.write(bytearray(text.encode("utf-8")))
+        while part := list(itertools.islice(pieces, 10_000)):
+            out.write(bytearray("".join(part).encode("utf-8")))
     finally:
         out.close()
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import sys
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import strip
@@ -24,13 +24,19 @@ def urls_from_list(spark: SparkSession, urls: list[str]) -> DataFrame:
 
 
 def urls_from_file(spark: SparkSession, path: str, comments: bool = False) -> DataFrame:
-    """A text file of any size, through Spark's reader; the position follows the file's order."""
-    lines = spark.read.text(path)
-    lines = lines.select(strip(F.regexp_replace("value", "�", "")).alias("raw_url"), F.monotonically_increasing_id().alias("input_pos"))
-    lines = lines.where("raw_url != ''")
-    if comments:
-        lines = lines.where(~F.col("raw_url").startswith("#"))
-    return lines.select("input_pos", "raw_url")
+    """A text file, or a folder of them, of any size; the position follows the files' names and the lines' order.
+
+    Spark deals splits of files in an order of its own, so lines are numbered inside their split
+    and the splits (one row each) are counted in the order of path and offset.
+    """
+    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("p"), F.col("_metadata.file_block_start").alias("s"), F.monotonically_increasing_id().alias("m"))
+    counts = lines.groupBy("p", "s").agg(F.count("*").alias("n"))
+    before = F.sum("n").over(Window.orderBy("p", "s").rowsBetween(Window.unboundedPreceding, -1))
+    splits = counts.select("p", "s", F.coalesce(before, F.lit(0)).alias("before"))
+    inside = F.row_number().over(Window.partitionBy("p", "s").orderBy("m")) - 1
+    lines = lines.withColumn("i", inside).join(splits, ["p", "s"])
+    lines = lines.select((F.col("before") + F.col("i")).alias("input_pos"), strip(F.regexp_replace("value", "�", "")).alias("raw_url")).where("raw_url != ''")
+    return lines.where(~F.col("raw_url").startswith("#")) if comments else lines
 
 
 def urls_from_stdin(spark: SparkSession) -> DataFrame:

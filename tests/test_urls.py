@@ -1,8 +1,10 @@
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
 from sievework.config import Fetch, UrlFilter
-from sievework.functions.urls import canonical, domain, url_domain
+from sievework.functions.urls import canonical, canonical_url, domain, url_domain
 from sievework.operators import url_filter
 from sievework.sources import http, urls
 
@@ -22,11 +24,53 @@ def test_canonical(given, want):
 
 
 def test_domains(spark):
-    cases = {"https://www.a.example.co.uk/x": "example.co.uk", "http://user@Sub.Example.com:80/": "example.com", "http://10.0.0.1/x": "10.0.0.1", "http://localhost:3000": "localhost", "http://co.uk/": "co.uk", "https://x.org?q": "x.org"}
+    cases = {"https://www.a.example.co.uk/x": "example.co.uk", "http://user@Sub.Example.com:80/": "example.com", "http://10.0.0.1/x": "10.0.0.1", "http://localhost:3000": "localhost", "http://co.uk/": "co.uk", "https://x.org?q": "x.org", "http://www.x.co.id/": "x.co.id", "http://a.b.com.my": "b.com.my", "http://a.b.xn--p1ai/": "b.xn--p1ai"}
     rows = spark.createDataFrame([(k,) for k in cases], "u string").select("u", url_domain(F.col("u")).alias("d")).collect()
     assert {r["u"]: r["d"] for r in rows} == cases == {k: domain(k) for k in cases}
 
 
+def test_suffix_list(spark):
+    from sievework.functions.urls import read_suffixes
+
+    rules = read_suffixes(["// a list", "com", "uk", "co.uk", "jp", "*.kobe.jp", "!city.kobe.jp", "", "kyoto.jp  // more", "a.b.kyoto.jp"])
+    cases = {"http://www.x.co.uk/": "x.co.uk", "http://x.y.kobe.jp/": "x.y.kobe.jp", "http://z.x.y.kobe.jp/": "x.y.kobe.jp", "http://a.city.kobe.jp/": "city.kobe.jp", "http://q.kyoto.jp/": "q.kyoto.jp", "http://m.q.a.b.kyoto.jp/": "q.a.b.kyoto.jp", "http://w.x.unknown/": "x.unknown", "http://uk/": "uk"}
+    rows = spark.createDataFrame([(k,) for k in cases], "u string").select("u", url_domain(F.col("u"), rules).alias("d")).collect()
+    assert {r["u"]: r["d"] for r in rows} == cases == {k: domain(k, rules) for k in cases}
+
+
+def test_native_and_parsed_urls_agree(spark):
+    rng = random.Random(5)
+    parts = ["http://", "HTTPS://", "https://", "//", "", "ftp://", "Ex.Com", "a-b.org:80", "user@h.net", "[::1]", "/", "/Path/x.html", "/a;p", "//x", "?", "?a=1", "?utm_source=x&b=2", "?ref=", "&c=3", "&&", "?a", "?q=a%20b", "#", "#Frag", " ", "é", "\\", "'", "[", "\t"]
+    given = ["".join(rng.choice(parts) for _ in range(rng.randint(1, 6))) for _ in range(800)] + ["".join(rng.choice(group) for group in (parts[:3], parts[6:8], ["", *parts[10:14]], ["", *parts[14:18]], ["", *parts[18:20]], ["", *parts[22:24]])) for _ in range(800)]
+    rows = spark.createDataFrame(list(enumerate(given)), "i long, u string").select("i", canonical_url(F.col("u"), P).alias("c")).collect()
+    assert {r["i"]: r["c"] for r in rows} == {i: canonical(u, P) for i, u in enumerate(given)}
+
+
+def test_positions_follow_the_files(spark, tmp_path):
+    (tmp_path / "b.txt").write_text("".join(f"http://b/{i}\n" for i in range(5000)))
+    (tmp_path / "a.txt").write_text("http://a/0\n\nhttp://a/1\n")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+    try:
+        got = urls.urls_from_file(spark, str(tmp_path)).orderBy("input_pos").collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert [r["raw_url"] for r in got] == ["http://a/0", "http://a/1", *[f"http://b/{i}" for i in range(5000)]] and len({r["input_pos"] for r in got}) == 5002
+
+
+def test_connect_time_limit():
+    """A socket that accepts but never answers fails after the time limit of reads."""
+    import socket
+    import time
+
+    with socket.socket() as s:
+        s.bind(("127.0.0.1", 0))
+        s.listen()
+        began = time.perf_counter()
+        with pytest.raises(OSError):
+            http.get(f"http://127.0.0.1:{s.getsockname()[1]}/", Fetch(timeout_s=0.3, connect_timeout_s=5))
+        assert time.perf_counter() - began < 3
+
+
 def test_filter_keeps_first_and_names_reasons(spark):
     given = ["http://a.com/1#x", "http://a.com/1", "", "http://a.com/P.JPG?x=1", "http://a.com/?f=x.jpg", "http://b.org/", "http://c.net/"]
     table = urls.urls_from_list(spark, given)
