@@ -5,7 +5,6 @@ from __future__ import annotations
 import argparse
 import json
 import sys
-from dataclasses import asdict
 
 from . import __version__
 from .config import ConfigError, Settings, load_settings
@@ -26,6 +25,7 @@ def _parser() -> argparse.ArgumentParser:
     run.add_argument("--urls", help="file of URLs, one a line")
     run.add_argument("--text", help="URLs, one a line")
     run.add_argument("--pages", help="table of pages (page_id, url, html) to read instead of the web")
+    run.add_argument("--suffix-list", help="file of public suffixes, in the form of the public suffix list")
     run.add_argument("--max-urls", type=int)
     run.add_argument("--format", "-f", choices=("parquet", "jsonl"), help="overrides output.format")
     run.add_argument("--dry-run", "--dry_run", action="store_true")
@@ -34,6 +34,8 @@ def _parser() -> argparse.ArgumentParser:
     preview = commands.add_parser("preview", help="first rows of a run's first shard")
     preview.add_argument("out")
     preview.add_argument("--limit", type=int, default=50)
+    preview.add_argument("--export", help="write the rows to this JSON lines file as well")
+    preview.add_argument("--record", type=int, help="show the whole record at this place instead")
     commands.add_parser("validate-config", help="check a configuration file").add_argument("config")
     commands.add_parser("version")
     return parser
@@ -54,14 +56,21 @@ def main(argv: list[str] | None = None) -> int:
         return 0
     spark = _session()
     if args.command == "preview":
-        from .plans.curate import preview_rows
-        from .sources.shards import first_shard
+        from .plans.curate import json_lines, preview_rows
+        from .sources.shards import first_shard, write_text
 
         rows = first_shard(spark, args.out)
-        for r in preview_rows(rows, args.limit).toJSON().collect() if rows is not None else ():
-            print(r)
+        shown = [] if rows is None else rows.offset(args.record).limit(1).collect() if args.record is not None else preview_rows(rows, args.limit).collect()
+        lines = list(json_lines(shown))
+        print("".join(lines), end="")
+        if args.export:
+            write_text(spark, args.export, lines)
         return 0
-    from .plans.curate import run
+    if not (spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()):
+        # The output's store is shared by the whole cluster.
+        spark.sparkContext.setCheckpointDir(f"{args.out.rstrip('/')}/_tables")
+    from .functions.urls import SUFFIXES, read_suffixes
+    from .plans.curate import json_safe, run
     from .sources.http import pages_table
     from .sources.shards import write_text
     from .sources.urls import read_urls
@@ -79,13 +88,14 @@ def main(argv: list[str] | None = None) -> int:
     if args.max_urls:
         urls = urls.orderBy("input_pos").limit(args.max_urls)
     if not args.no_save_input_urls and not args.pages:
-        write_text(spark, f"{args.out.rstrip('/')}/input_urls.txt", "".join(f"{r[0]}\n" for r in urls.orderBy("input_pos").select("raw_url").toLocalIterator()))
+        write_text(spark, f"{args.out.rstrip('/')}/input_urls.txt", (f"{r[0]}\n" for r in urls.orderBy("input_pos").select("raw_url").toLocalIterator()))
     if args.dry_run:
         print("configuration and URLs are valid")
         return 0
     scan = (lambda wanted: pages_table(pages, wanted)) if pages is not None else None
-    summary = asdict(run(urls, settings, args.out, args.format, scan))
-    print(json.dumps(summary, ensure_ascii=False, default=str) if args.json else f"kept={summary['kept']} dropped={summary['dropped']} total={summary['total']} shards={summary['shards_written']}")
+    suffixes = read_suffixes(r[0] for r in spark.read.text(args.suffix_list).toLocalIterator()) if args.suffix_list else SUFFIXES
+    summary = json_safe(run(urls, settings, args.out, args.format, scan, suffixes=suffixes))
+    print(json.dumps(summary, ensure_ascii=False) if args.json else f"kept={summary['kept']} dropped={summary['dropped']} total={summary['total']} shards={summary['shards_written']}")
     return 0
 
 

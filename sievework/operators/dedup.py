@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import functools
 import hashlib
-import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -13,14 +12,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..config import Dedup
-from ..functions.text import normalised
+from ..functions.text import normalised, shingles
 from ..plans.shared import stored
 from ..schema import live, reason
 from .components import components
 
 #: Modulus of the hash family: products of two residues stay below 2**62.
 PRIME = 2**31 - 1
-_WORD = re.compile(r"\w+")
+#: Shingles of which the permutations are made at a time.
+BLOCK = 1 << 13
 
 
 def preference(policy: str) -> Column:
@@ -32,13 +32,15 @@ def preference(policy: str) -> Column:
 def exact_dedup(df: DataFrame, cfg: Dedup) -> DataFrame:
     """Set exact_hash and doc_id of live rows; all but the best of each hash drop as duplicate.
 
-    The best is a partial maximum over narrow rows; what comes back is joined on the unique
-    position, so a text copied a million times is no hot key.
+    What the rows' columns cost is computed once, into a written table. The best is a partial
+    maximum over its narrow columns; what comes back is joined on the unique position, so a text
+    copied a million times is no hot key.
     """
     if not (cfg.enabled and cfg.exact_dedup):
         return df
     hashed = F.sha1(normalised(F.coalesce("text", F.lit(""))).cast("binary"))
     out = df.withColumn("exact_hash", F.when(live(), hashed).otherwise(F.col("exact_hash"))).withColumn("doc_id", F.when(live(), F.col("exact_hash")).otherwise(F.col("doc_id")))
+    out = stored(out, "hashed")
     best = out.where(live()).groupBy("exact_hash").agg(F.max_by("input_pos", preference(cfg.keep_policy)).alias("_best")).select(F.col("_best").alias("input_pos"), F.lit(True).alias("_kept"))
     out = out.join(best, "input_pos", "left")
     lost = live() & F.col("_kept").isNull()
@@ -55,31 +57,38 @@ def permutations(num_perm: int) -> tuple[np.ndarray, np.ndarray]:
     return np.array([1 + value(f"a{i}") % (PRIME - 1) for i in range(num_perm)]), np.array([value(f"b{i}") % PRIME for i in range(num_perm)])
 
 
-def signature(text: str, shingle_size: int, num_perm: int) -> np.ndarray:
-    """The least value of each permutation over the text's shingles; PRIME everywhere without words."""
-    words = _WORD.findall(text.lower())
-    grams = {" ".join(words[i : i + shingle_size]) for i in range(len(words) - shingle_size + 1)} if len(words) >= shingle_size else set(words)
-    if not grams:
-        return np.full(num_perm, PRIME)
-    h = np.fromiter((int(hashlib.sha1(g.encode()).hexdigest()[:8], 16) for g in grams), np.int64, len(grams)) % PRIME
-    a, b = permutations(num_perm)
-    out = np.full(num_perm, PRIME)
-    for i in range(0, len(h), 4096):
-        np.minimum(out, ((h[i : i + 4096, None] * a + b) % PRIME).min(axis=0), out=out)
-    return out
+def least_values(hashes: np.ndarray, offsets: np.ndarray, num_perm: int) -> np.ndarray:
+    """For each document (a run of residues) the least value of each permutation; PRIME everywhere without any."""
+    a, b = (v.astype(np.uint64) for v in permutations(num_perm))
+    docs, prime, low = len(offsets) - 1, np.uint64(PRIME), np.uint64(31)
+    out = np.full((docs, num_perm), prime)
+    owner = np.repeat(np.arange(docs), np.diff(offsets))
+    for at in range(0, len(hashes), BLOCK):
+        x = hashes[at : at + BLOCK, None].astype(np.uint64) * a + b
+        # Modulo 2**31 - 1 by folding the upper bits on the lower ones.
+        for _ in range(2):
+            x = (x & prime) + (x >> low)
+        np.subtract(x, prime, out=x, where=x >= prime)
+        here = owner[at : at + BLOCK]
+        first = np.flatnonzero(np.concatenate(([True], here[1:] != here[:-1])))
+        rows = here[first]
+        out[rows] = np.minimum(out[rows], np.minimum.reduceat(x, first, axis=0))
+    return out.astype(np.int64)
 
 
 def signatures(docs: DataFrame, shingle_size: int, num_perm: int) -> DataFrame:
-    """input_pos and signature (array<long>) of documents with text."""
+    """input_pos and signature (array<long>) of documents with text: shingles and their hashes native, permutations in numpy."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = [signature(t, shingle_size, num_perm) for t in batch.column(1).to_pylist()]
-            flat = np.concatenate(rows) if rows else np.zeros(0, np.int64)
-            lists = pa.ListArray.from_arrays(pa.array(np.arange(len(rows) + 1) * num_perm, pa.int32()), pa.array(flat, pa.int64()))
+            sizes = np.asarray(batch.column(1).value_lengths(), np.int64)
+            flat = least_values(batch.column(1).flatten().to_numpy(zero_copy_only=False), np.concatenate(([0], np.cumsum(sizes))), num_perm).ravel()
+            lists = pa.ListArray.from_arrays(pa.array(np.arange(len(sizes) + 1) * num_perm, pa.int32()), pa.array(flat, pa.int64()))
             yield pa.RecordBatch.from_arrays([batch.column(0), lists], ["input_pos", "signature"])
 
-    return docs.where(F.coalesce("text", F.lit("")) != "").select("input_pos", "text").mapInArrow(run, "input_pos long, signature array<long>")
+    residue = lambda s: F.conv(F.substring(F.sha1(s.cast("binary")), 1, 8), 16, 10).cast("long") % PRIME
+    hashed = docs.where(F.coalesce("text", F.lit("")) != "").select("input_pos", F.transform(shingles(F.col("text"), shingle_size), residue).alias("h"))
+    return hashed.mapInArrow(run, "input_pos long, signature array<long>")
 
 
 @functools.cache

@@ -16,6 +16,7 @@ from ..operators.components import components
 from ..schema import live, working
 from ..sources.http import pages_table
 from ..sources.shards import with_shard
+from ..sources.tables import read_table
 from . import curate
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -38,7 +39,7 @@ def query(oracle: str | None = None) -> Callable[[Query], Query]:
 
 
 def _docs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/documents.parquet").withColumnRenamed("doc_id", "input_pos")
+    return read_table(spark, f"{sf_dir}/documents.parquet", "doc_id").withColumnRenamed("doc_id", "input_pos")
 
 
 def _rows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -46,7 +47,7 @@ def _rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/pages.parquet")
+    return read_table(spark, f"{sf_dir}/pages.parquet", "page_id")
 
 
 def _urls(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -55,6 +56,7 @@ def _urls(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # SQL that stands for the column expressions, on texts whose only white space is space and line feed.
 _W = r"regexp_extract_all({0}, '[\p{{L}}\p{{N}}_]+')"
+_LOW = "list_transform(" + _W.format("text") + ", lambda w: lower(w))"
 _COLLAPSE = r"trim(regexp_replace({0}, '\s+', ' ', 'g'))"
 _NORMAL = _COLLAPSE.format("lower(text)")
 _CANON = r"regexp_replace(regexp_replace(regexp_replace(url, '#.*$', ''), '\?utm_source=feed$', ''), '&ref=x$', '')"
@@ -84,6 +86,20 @@ def url_filter_funnel(spark, sf_dir):
     return judged.groupBy(F.coalesce("rejected", F.lit("passed")).alias("outcome")).agg(F.count("*").alias("n"))
 
 
+_SHORT = r"regexp_extract(url, '^https?://[^/]+/?.?', 0)"
+
+
+@query(f"""WITH u AS (SELECT page_id, {_DOMAIN} AS d, url LIKE '%utm_source%' AS jpg, {_SHORT} AS canon FROM pages),
+c AS (SELECT *, CASE WHEN jpg THEN 'extension' WHEN d NOT IN ('example.com', 'example.net') THEN 'not_allowed' WHEN d = 'example.net' THEN 'denied' END AS code FROM u),
+r AS (SELECT *, CASE WHEN code IS NULL THEN row_number() OVER (PARTITION BY code IS NULL, canon ORDER BY page_id) END AS k FROM c)
+SELECT page_id AS input_pos, canon || CASE WHEN jpg THEN 'x.JPG' ELSE '' END AS url, coalesce(code, CASE WHEN k > 1 THEN 'duplicate_url' END) AS rejected FROM r""")
+def url_filter_rules(spark, sf_dir):
+    short = F.regexp_extract("raw_url", "^https?://[^/]+/?.?", 0)
+    varied = F.when(F.contains("raw_url", F.lit("utm_source")), F.concat(short, F.lit("x.JPG?utm_x=1"))).otherwise(F.concat(short, F.lit("#top")))
+    cfg = UrlFilter(allow_domains=("example.com", "Example.net"), deny_domains=("example.net",))
+    return url_filter.judged(_urls(spark, sf_dir).withColumn("raw_url", varied), cfg).select("input_pos", "url", "rejected")
+
+
 @query(f"SELECT min(page_id) AS input_pos, {_DOMAIN} AS raw_url FROM pages GROUP BY 2")
 def url_distinct(spark, sf_dir):
     return url_filter.ordered_distinct(_urls(spark, sf_dir).withColumn("raw_url", url_domain(F.col("raw_url"))))
@@ -94,13 +110,22 @@ def url_limit(spark, sf_dir):
     return url_filter.limited(_urls(spark, sf_dir), 20)
 
 
-@query()
+# The test pages hold one article of paragraphs, a headline and inline marks.
+_ARTICLE = r"regexp_extract(html, '<article>(.*)</article>', 1, 's')"
+_EXTRACTED = (
+    r"trim(regexp_replace(replace(replace(replace(replace(regexp_replace(regexp_replace({0}, '</?(p|h1|br)>', ' ', 'g'), '<[^>]*>', '', 'g'), "
+    r"'&quot;', chr(34)), '&copy;', '©'), '&middot;', '·'), '&amp;', '&'), '\s+', ' ', 'g'))"
+).format(_ARTICLE)
+_TITLE = r"trim(regexp_replace(replace(replace(replace(replace(regexp_extract(html, '<title>(.*?)</title>', 1, 's'), '&quot;', chr(34)), '&copy;', '©'), '&middot;', '·'), '&amp;', '&'), '\s+', ' ', 'g'))"
+
+
+@query(f"SELECT page_id, {_TITLE} AS title, {_EXTRACTED} AS text, CASE WHEN length({_EXTRACTED}) < 200 THEN 'extraction_failed' END AS code FROM pages")
 def extract_pages(spark, sf_dir):
     out = extract.extract(pages_table(_pages(spark, sf_dir)), Extract())
     return out.select(F.col("input_pos").alias("page_id"), "title", "text", F.col("drop.code").alias("code"))
 
 
-@query(r"""SELECT page_id, trim(regexp_replace(replace(replace(replace(replace(regexp_extract(html, '<title>(.*?)</title>', 1, 's'), '&quot;', '"'), '&copy;', '©'), '&middot;', '·'), '&amp;', '&'), '\s+', ' ', 'g')) AS title FROM pages""")
+@query(f"SELECT page_id, {_TITLE} AS title FROM pages")
 def extract_titles(spark, sf_dir):
     out = extract.extract(pages_table(_pages(spark, sf_dir)), Extract())
     return out.select(F.col("input_pos").alias("page_id"), "title")
@@ -120,6 +145,15 @@ def language_rules(spark, sf_dir):
     return out.select(F.col("input_pos").alias("doc_id"), F.col("drop.code").alias("code"))
 
 
+@query("""WITH v AS (SELECT doc_id, CASE WHEN length(text) % 11 = 0 THEN '' ELSE text END AS text, nullif(lang, 'fr') AS lang, length(text) % 10 / 10e0 AS conf FROM documents)
+SELECT doc_id, CASE WHEN text = '' THEN 'no_text' WHEN length(text) < 300 THEN 'too_short' WHEN lang IS NULL THEN 'lang_unknown' WHEN conf < 0.3e0 THEN 'low_conf' WHEN lang NOT IN ('en', 'de') THEN 'lang_mismatch' END AS code FROM v""")
+def language_codes(spark, sf_dir):
+    n = F.length("text")
+    varied = _rows(spark, sf_dir).withColumns({"text": F.when(n % 11 == 0, "").otherwise(F.col("text")), "lang": F.nullif(F.col("lang"), F.lit("fr")), "lang_conf": n % 10 / 10.0})
+    out = language.language_filter(varied, Language(detector="column", min_chars=300, min_confidence=0.3, target_langs=("en", "de")))
+    return out.select(F.col("input_pos").alias("doc_id"), F.col("drop.code").alias("code"))
+
+
 def _profile_sql() -> str:
     hits = [f"len(list_filter(ws, lambda w: w IN ({', '.join(repr(w) for w in p)})))::BIGINT AS {k}" for k, p in sorted(language.PROFILES.items())]
     best = "greatest(de, en, es, fr)"
@@ -187,7 +221,7 @@ def exact_dedup_keep_longest(spark, sf_dir):
     return dedup.exact_dedup(_rows(spark, sf_dir), Dedup(keep_policy="longest")).where(live()).select(F.col("input_pos").alias("doc_id"))
 
 
-_SHINGLES = "w AS (SELECT doc_id, {w} AS ws FROM documents), s AS (SELECT doc_id, list_distinct(CASE WHEN len(ws) < 5 THEN ws ELSE list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i:i + 4], ' ')) END) AS sh FROM w)".format(w=_W.format("lower(text)"))
+_SHINGLES = "w AS (SELECT doc_id, {w} AS ws FROM documents), s AS (SELECT doc_id, list_distinct(CASE WHEN len(ws) < 5 THEN ws ELSE list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i:i + 4], ' ')) END) AS sh FROM w)".format(w=_LOW)
 
 
 @query(f"WITH {_SHINGLES} SELECT doc_id, len(sh)::BIGINT AS n, list_min(sh) AS least FROM s")
@@ -198,15 +232,16 @@ def shingles(spark, sf_dir):
 
 _PERMUTED = rf"""{_SHINGLES}, ab AS (SELECT list(1 + ('0x' || substr(sha1('a' || i), 1, 8))::BIGINT % {dedup.PRIME - 1} ORDER BY i) AS a, list(('0x' || substr(sha1('b' || i), 1, 8))::BIGINT % {dedup.PRIME} ORDER BY i) AS b FROM range(128) t(i)),
 h AS (SELECT doc_id, unnest(sh) AS x FROM s), v AS (SELECT doc_id, ('0x' || substr(sha1(x), 1, 8))::BIGINT % {dedup.PRIME} AS h FROM h),
-p AS (SELECT i, a[i + 1] AS a, b[i + 1] AS b FROM ab, range(128) t(i)),
-least AS (SELECT doc_id, i, min((h * a + b) % {dedup.PRIME}) AS m FROM v, p GROUP BY doc_id, i),
-sig AS (SELECT doc_id, list(m ORDER BY i) AS signature FROM least GROUP BY doc_id)"""
+perm AS (SELECT i, a[i + 1] AS a, b[i + 1] AS b FROM ab, range(128) t(i)),
+least AS (SELECT doc_id, i, min((h * a + b) % {dedup.PRIME}) AS m FROM v, perm GROUP BY doc_id, i),
+known AS (SELECT doc_id, list(m ORDER BY i) AS signature FROM least GROUP BY doc_id),
+sig AS (SELECT doc_id, coalesce(signature, list_transform(range(128), lambda k: {dedup.PRIME}::BIGINT)) AS signature FROM documents LEFT JOIN known USING (doc_id) WHERE text <> '')"""
 
 
 @query(f"WITH {_PERMUTED} SELECT doc_id, signature[1] AS first, signature[128] AS last, list_sum(signature)::BIGINT AS total FROM sig")
 def minhash_signature(spark, sf_dir):
     out = dedup.signatures(_docs(spark, sf_dir), 5, 128)
-    return out.select(F.col("input_pos").alias("doc_id"), F.element_at("signature", 1).alias("first"), F.element_at("signature", -1).alias("last"), F.aggregate("signature", F.lit(0).cast("long"), lambda a, x: a + x).alias("total")).where("first < 2147483647")
+    return out.select(F.col("input_pos").alias("doc_id"), F.element_at("signature", 1).alias("first"), F.element_at("signature", -1).alias("last"), F.aggregate("signature", F.lit(0).cast("long"), lambda a, x: a + x).alias("total"))
 
 
 @query(rf"""WITH RECURSIVE {_PERMUTED}, bands AS (SELECT doc_id, j, signature[j * 5 + 1 : j * 5 + 5] AS k FROM sig, range(25) t(j)),
@@ -214,11 +249,26 @@ edges AS (SELECT DISTINCT x.doc_id AS a, y.doc_id AS b FROM bands x JOIN bands y
 reach AS (SELECT a, b FROM edges UNION SELECT r.a, e.b FROM reach r JOIN edges e ON r.b = e.a)
 SELECT a AS doc_id, min(b) AS root FROM reach GROUP BY a""")
 def minhash_clusters(spark, sf_dir):
-    signed = dedup.signatures(_docs(spark, sf_dir), 5, 128).where(F.element_at("signature", 1) < dedup.PRIME)
+    signed = dedup.signatures(_docs(spark, sf_dir), 5, 128)
     return components(dedup.lsh_links(signed, 0.5, 128)).select(F.col("id").alias("doc_id"), "root")
 
 
-@query()
+def _near_sql(alive: str, threshold: float) -> str:
+    """Clusters of the live rows of ``alive`` (doc_id, score, text): each member's best and whether it is that."""
+    b, r = dedup.bands(threshold, 128)
+    return f"""bands AS (SELECT doc_id, j, signature[j * {r} + 1 : j * {r} + {r}] AS k FROM sig JOIN {alive} USING (doc_id), range({b}) t(j)),
+edges AS (SELECT DISTINCT x.doc_id AS a, y.doc_id AS b FROM bands x JOIN bands y ON x.j = y.j AND x.k = y.k),
+reach AS (SELECT a, b FROM edges UNION SELECT r.a, e.b FROM reach r JOIN edges e ON r.b = e.a),
+near AS (SELECT a AS doc_id, min(b) AS root, count(*) AS size FROM reach GROUP BY a),
+ranked AS (SELECT doc_id, size, row_number() OVER (PARTITION BY root ORDER BY score DESC, length(text) DESC, doc_id) AS place,
+  first_value(sha1({_NORMAL})) OVER (PARTITION BY root ORDER BY score DESC, length(text) DESC, doc_id) AS best FROM near JOIN {alive} USING (doc_id)),
+cluster AS (SELECT doc_id, best, place FROM ranked WHERE size > 1)"""
+
+
+@query(f"""WITH RECURSIVE {_PERMUTED}, {_GOPHER}, x AS (SELECT *, row_number() OVER (PARTITION BY sha1({_NORMAL}) ORDER BY score DESC, length(text) DESC, doc_id) AS k FROM g WHERE code IS NULL),
+alive AS (SELECT doc_id, score, text FROM x WHERE k = 1), {_near_sql('alive', 0.7)}
+SELECT g.doc_id, best AS minhash_cluster_id, coalesce(g.code, CASE WHEN x.k > 1 THEN 'duplicate' WHEN place > 1 THEN 'near_duplicate' END) AS code
+FROM g LEFT JOIN x USING (doc_id) LEFT JOIN cluster USING (doc_id)""")
 def minhash_dedup(spark, sf_dir):
     scored = quality.gopher_filter(_rows(spark, sf_dir), Gopher())
     out = dedup.minhash_dedup(dedup.exact_dedup(scored, Dedup()), Dedup(jaccard_threshold=0.7))
@@ -227,8 +277,8 @@ def minhash_dedup(spark, sf_dir):
 
 _PHRASE = "CASE " + " ".join(f"WHEN contains(lower(text), '{p}') THEN '{p}'" for p in BLACKLIST_PHRASES) + " END"
 _SENTENCES = r"len(list_filter(string_split_regex(trim(regexp_replace(text, '^\s+|\s+$', '', 'g')), '[.!?]\s+'), lambda s: trim(regexp_replace(s, '\s+', ' ', 'g')) <> ''))"
-_STOP = f"len(list_filter({_W.format('lower(text)')}, lambda w: w IN ({', '.join(repr(w) for w in t.STOPWORDS)})))"
-_WORDS = f"len({_W.format('lower(text)')})"
+_STOP = f"len(list_filter({_LOW}, lambda w: w IN ({', '.join(repr(w) for w in t.STOPWORDS)})))"
+_WORDS = f"len({_W.format('text')})"
 _C4 = f"CASE WHEN {_PHRASE} IS NOT NULL THEN 'blacklist_phrase' WHEN {_SENTENCES} < 3 THEN 'too_few_sentences' WHEN {_WORDS} > 0 AND {_STOP} / {_WORDS} < 0.02e0 THEN 'low_stopword_fraction' END"
 
 
@@ -252,6 +302,7 @@ def c4_filter(spark, sf_dir):
     return c4.c4_filter(_rows(spark, sf_dir), C4()).select(F.col("input_pos").alias("doc_id"), F.col("drop.code").alias("code"))
 
 
+# The patterns of personal data, in SQL's dialect.
 _EMAIL, _PHONE, _IP = r"(?i)\b[A-Z0-9._%+-]+@[A-Z0-9.-]+\.[A-Z]{2,}\b", r"\b(?:\+?\d{1,3}[\s-]?)?(?:\(?\d{2,4}\)?[\s-]?)?\d{3,4}[\s-]?\d{3,4}\b", r"\b(?:\d{1,3}\.){3}\d{1,3}\b"
 _PII = f"""e AS (SELECT doc_id, text, regexp_replace(text, '{_EMAIL}', '[EMAIL]', 'g') AS t1, len(regexp_extract_all(text, '{_EMAIL}'))::BIGINT AS email FROM documents),
 f AS (SELECT *, regexp_replace(t1, '{_PHONE}', '[PHONE]', 'g') AS t2, len(regexp_extract_all(t1, '{_PHONE}'))::BIGINT AS phone FROM e),
@@ -317,10 +368,15 @@ def audit_rows(spark, sf_dir):
     return curate.audit_rows(_funnel(spark, sf_dir)).select("input_pos", "status", "reason")
 
 
-@query()
+@query(
+    "WITH RECURSIVE " + _FUNNEL.removeprefix("WITH ") + f""", {_PERMUTED}, alive AS (SELECT doc_id, score, text FROM fin WHERE r1 IS NULL AND k = 1), {_near_sql('alive', 0.85)}, {_PII}
+SELECT sha1({_NORMAL.replace('text', 'fin.text')}) AS doc_id, 'doc:' || fin.doc_id AS url, fin.lang, round(score, 6) AS quality_score, coalesce(best, '') AS dedup_cluster_id,
+  list_filter(['email', 'ip', 'phone'], lambda t: CASE t WHEN 'email' THEN email WHEN 'ip' THEN ip ELSE phone END > 0)::VARCHAR AS pii_types, p.t3 AS text
+FROM fin JOIN p USING (doc_id) LEFT JOIN cluster USING (doc_id) WHERE reason IS NULL AND coalesce(place, 1) = 1"""
+)
 def curate_documents(spark, sf_dir):
     rows = _rows(spark, sf_dir).withColumn("url", F.concat(F.lit("doc:"), F.col("input_pos").cast("string")))
-    return curate.dataset_rows(curate.curate_text(rows, _ANY)).select("doc_id", "url", "lang", "quality_score", "dedup_cluster_id", "pii_types", "text")
+    return curate.dataset_rows(curate.curate_text(rows, _ANY)).select("doc_id", "url", "lang", F.round("quality_score", 6).alias("quality_score"), "dedup_cluster_id", F.concat(F.lit("["), F.array_join("pii_types", ", "), F.lit("]")).alias("pii_types"), "text")
 
 
 @query()

@@ -3,14 +3,16 @@
 from __future__ import annotations
 
 import json
+import math
 import time
-from dataclasses import asdict, dataclass
+from collections.abc import Iterable, Iterator
+from dataclasses import asdict, dataclass, is_dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
 from ..config import Settings
-from ..functions.urls import url_domain
+from ..functions.urls import SUFFIXES, Suffixes, url_domain
 from ..operators.c4 import c4_filter
 from ..operators.dedup import exact_dedup, minhash_dedup
 from ..operators.extract import extract
@@ -39,9 +41,7 @@ class RunSummary:
 def curate_text(docs: DataFrame, settings: Settings) -> DataFrame:
     """All stages after extraction, over a table with input_pos and text. Order matters: dedup comes before C4 and PII."""
     out = docs.transform(working).transform(language_filter, settings.language).transform(gopher_filter, settings.gopher)
-    if settings.dedup.enabled and (settings.dedup.exact_dedup or settings.dedup.minhash):
-        # Detectors and metrics are not computed again by the shuffles and statistics below.
-        out = stored(out, "scored")
+    # Both dedup stages write what comes to them, so detectors and metrics are computed once.
     out = out.transform(exact_dedup, settings.dedup).transform(minhash_dedup, settings.dedup)
     return out.transform(c4_filter, settings.c4).transform(pii_filter, settings.pii)
 
@@ -91,13 +91,32 @@ def record_at(rows: DataFrame, index: int) -> dict | None:
     return found[0].asDict(recursive=True) if found else None
 
 
-def run(urls: DataFrame, settings: Settings, out_dir: str, export_format: str | None = None, scan=None, max_urls: int | None = None) -> RunSummary:
+def json_safe(value):
+    """The value as JSON takes it: keys as text, sets and tuples as lists, anything else by its text."""
+    if isinstance(value, dict):
+        return {str(k): json_safe(v) for k, v in value.items()}
+    if isinstance(value, (list, tuple, set, frozenset)):
+        return [json_safe(v) for v in (sorted(value, key=str) if isinstance(value, (set, frozenset)) else value)]
+    if is_dataclass(value) and not isinstance(value, type):
+        return json_safe(asdict(value))
+    if isinstance(value, float) and not math.isfinite(value):
+        return None
+    return value if value is None or isinstance(value, (bool, int, float, str)) else str(value)
+
+
+def json_lines(rows: Iterable[Row]) -> Iterator[str]:
+    """A line of JSON for each row; preview and record exports hold what they show, not the whole dataset."""
+    for r in rows:
+        yield json.dumps(json_safe(r.asDict(recursive=True)), ensure_ascii=False) + "\n"
+
+
+def run(urls: DataFrame, settings: Settings, out_dir: str, export_format: str | None = None, scan=None, max_urls: int | None = None, suffixes: Suffixes = SUFFIXES) -> RunSummary:
     """Curate a URL list (input_pos, raw_url) into ``out_dir``. ``scan`` makes fetched rows of filtered URLs; by default over HTTP."""
     spark, started = urls.sparkSession, int(time.time())
     fmt = export_format or settings.output.format
     if max_urls:
         urls = urls.orderBy("input_pos").limit(max_urls)
-    wanted = filter_urls(urls, settings.url_filter)
+    wanted = filter_urls(urls, settings.url_filter, suffixes)
     fetched = stored(scan(wanted) if scan else http.fetch(wanted, settings.fetch), "fetched")
     done = stored(curate_pages(fetched, settings), "curated")
     shards = write_shards(dataset_rows(done), out_dir, OUTPUT.names, fmt, settings.output.shard_size)
@@ -110,7 +129,7 @@ def run(urls: DataFrame, settings: Settings, out_dir: str, export_format: str |
             "drop_counts": {r["reason"]: r["n"] for r in drop_counts(done).orderBy("reason").collect()}, "lang_counts": {r["lang"]: r["n"] for r in language_histogram(done).orderBy("lang").collect()},
             "output_format": fmt, "shards_written": shards,
         }
-        write_text(spark, stats_path, json.dumps(stats, indent=2, ensure_ascii=False))
+        write_text(spark, stats_path, json.dumps(json_safe(stats), indent=2, ensure_ascii=False))
     summary = RunSummary(t["total"], t["kept"], t["dropped"], shards, out_dir, stats_path, f"{out_dir.rstrip('/')}/summary.json")
-    write_text(spark, summary.summary_path, json.dumps(asdict(summary), indent=2, default=str))
+    write_text(spark, summary.summary_path, json.dumps(json_safe(summary), indent=2))
     return summary
