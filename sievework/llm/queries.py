@@ -64,8 +64,18 @@ def op7_shard_interleave(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign(_documents(spark, sf_dir), 40).drop("source")
 
 
+def media_payload(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of op3 what SQL can state."""
+    return op3_media_columns(spark, sf_dir).select("doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32")
+
+
+def mix_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of op5 what SQL can state."""
+    return op5_mix_sources(spark, sf_dir).select("doc_id", "size", "source_size", F.round("target", 3).alias("target"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_suffix_array_dedup, op2_language_id, op3_media_columns, op4_suffix_tree_dedup, op5_mix_sources, op6_toxicity, op7_shard_interleave, op8_html_text, op9_order_minhash, op10_decontaminate)}
+    return {f.__name__: f for f in (op1_suffix_array_dedup, op2_language_id, op3_media_columns, op4_suffix_tree_dedup, op5_mix_sources, op6_toxicity, op7_shard_interleave, op8_html_text, op9_order_minhash, op10_decontaminate, media_payload, mix_targets)}
 
 
 def oracle_sql() -> dict[str, str]:
