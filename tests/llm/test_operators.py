@@ -291,3 +291,39 @@ def test_shards(table):
     assert sharding.assign(docs.limit(0), 40).count() == 0 and Counter(r["shard"] for r in sharding.assign(docs.limit(3), 40).collect()).most_common(1)[0][1] == 1
     with pytest.raises(ValueError):
         sharding.assign(docs, 0)
+
+
+def test_very_long_texts(spark, table):
+    """A text of megabytes beside null and empty ones, through every operator: all of it counts, to its last word."""
+    from sievework.llm import langid, neardup, suffixarray, suffixtree, toxicity
+
+    rng = random.Random(41)
+    half = " ".join(f"w{rng.randrange(10**9)}" for _ in range(150_000))
+    item = " ".join(f"q{i}" for i in range(14))
+    long = f"{half} {half} {item}"
+    near = long.split(" ")
+    for at in rng.sample(range(300_000), 20_000):
+        near[at] = f"x{at}"
+    short = [(10 + i, " ".join(rng.choice(["the and of", "der und die", "le la des"][i % 3].split()) for _ in range(40)), ["en", "de", "fr"][i % 3], "s", 1) for i in range(90)]
+    docs = table([(1, long, "en", "s", len(long)), (2, " ".join(near), "de", "t", 1), (3, None, None, None, None), (4, "", "en", "s", 0), *short]).repartition(3)
+
+    words = {r["doc_id"]: r for r in suffixtree.dedup(docs.where("doc_id != 2")).collect()}
+    assert (words[1]["n_words"], words[1]["n_removed"], words[3]["n_words"]) == (300_014, 150_000, 0) and words[1]["kept"] == f"{half} {item}"
+    spans = {r["doc_id"]: r for r in suffixarray.dedup(docs.where("doc_id in (1, 3, 4)")).collect()}
+    # The blank before the second half is not covered, and that after it only if the item's first byte follows it in the first half too.
+    assert spans[1]["n_spans"] == 1 and abs(spans[1]["n_removed"] - len(half)) <= 1 and spans[3]["n_bytes"] == spans[4]["n_removed"] == 0
+    found = {r["doc_id"]: r for r in decontaminate.contamination(docs, spark.createDataFrame([(5, item)], "item_id long, text string")).collect()}
+    assert (found[1]["n_words"], found[1]["n_hit"], found[1]["items"]) == (300_014, 14, ["5"]) and found[3]["n_words"] == 0
+    groups = {r["doc_id"]: r["group_id"] for r in neardup.groups(docs).collect()}
+    assert groups[1] == groups[2] == 1 and groups[3] == groups[4] == 3
+    named = {r["doc_id"]: r for r in langid.identify(docs).collect()}
+    assert named[3]["lang_pred"] == named[4]["lang_pred"] == "und" and 0 < named[1]["score"] <= 1
+    scored = {r["doc_id"]: r["score"] for r in toxicity.score(docs, spark.createDataFrame([(i, i % 2) for i in range(1, 100)], "doc_id long, toxic int")).collect()}
+    assert scored[3] == scored[4] and all(0 <= s <= 1 for s in scored.values())
+    stored = {r["doc_id"]: r for r in media.digest(media.media(docs)).collect()}
+    assert stored[1]["n_bytes"] == len(long) and stored[1]["tail_crc32"] == zlib.crc32(media.payload_of(long.encode())[-32:])
+    planned = {r["doc_id"]: r for r in mixing.plan(docs).collect()}
+    assert planned[1]["size"] == 300_014 and planned[3]["size"] == planned[4]["taken"] == 0
+    assert {r["doc_id"]: r["size"] for r in sharding.assign(docs, 3).collect()}[1] == len(long) + 16
+    pages = spark.createDataFrame([(1, "u", "<nav>x</nav><article>" + f"<p>{PROSE}" * 20_000 + "</article>")], "page_id long, url string, html string")
+    assert htmltext.main_text(pages).first()["n_chars"] == 20_000 * (len(" ".join(PROSE.split())) + 1) - 1
