@@ -37,11 +37,13 @@ def release(spark: SparkSession) -> None:
     """Let the context cleaner remove the shuffle files of jobs that are over.
 
     Objects that Python has let go are let go in the JVM about once a second; only then does a
-    collection there find the shuffles unused.
+    collection there find what held the shuffles unused, and the next one the shuffles.
     """
     gc.collect()
     time.sleep(1.2)
     spark.sparkContext._jvm.System.gc()
+    time.sleep(0.5)
+    spark.sparkContext._jvm.System.gc()
 
 
 def drop(df: DataFrame) -> None:
