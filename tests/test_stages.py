@@ -163,6 +163,20 @@ def test_references_without_a_semicolon_are_text():
     assert extract.read_page(page, "trafilatura") == ("A & b &amp& &copy 5 A &ampx; <p>", 'A & b &amp\nR&D "x" © &amp; &nosuch; & ? &')
 
 
+def test_titles_cut_inside_a_reference(spark, tmp_path):
+    import duckdb
+
+    from sievework.plans import catalog
+
+    titles = ["A &amp; b", "A &amp", "A &am", "&amp;&amp;&amp", "&quot;x&quot", "&copy; &copy", "&middot; &middot", "&"]
+    pages = [f"<html><head><title>{t}</title></head><body><article><h1>{t}</h1><p>text</p></article></body></html>" for t in titles]
+    spark.createDataFrame([(i, f"http://a.example.com/{i}", p) for i, p in enumerate(pages)], "page_id long, url string, html string").coalesce(1).write.parquet(str(tmp_path / "pages.parquet"))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW pages AS SELECT * FROM read_parquet('{tmp_path}/pages.parquet/*.parquet')")
+    for name in ("extract_titles", "extract_pages"):
+        assert sorted(tuple(r) for r in catalog.QUERIES[name](spark, str(tmp_path)).collect()) == sorted(con.execute(catalog.ORACLES[name]).fetchall())
+
+
 def test_shards(spark, tmp_path):
     df = spark.createDataFrame([(i * 40_000, f"é{i}", []) for i in range(11)], "input_pos long, text string, kinds array<string>").repartition(5)
     for fmt, size, n in (("parquet", 5, 3), ("jsonl", 11, 1), ("parquet", 10, 2)):
