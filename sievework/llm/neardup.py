@@ -18,8 +18,9 @@ A bucket's pairs are not all aligned, yet no link between groups is lost. A lowe
 edit distance (lengths, and counts of words in bins) rules pairs out exactly. First round: each
 member of a bucket is paired with the bucket's least class, which takes a partial minimum and
 one narrow join, so a bucket of any size is one pair a member. Where the members of a bucket are
-then one group, it is done: a pair inside a group cannot change the groups. Second round: of the
-buckets that are left (of those with the same members, one) every pair across groups that the
+then one group, it is done: a pair inside a group cannot change the groups. Second round: the
+least class of a bucket has met all others of it and stays out; of the buckets whose other members
+are in several groups (of those with the same members, one) every pair across groups that the
 bound leaves possible is judged, in one bucket of those that the two share, chosen by the pair.
 First only profiles are dealt, and then the texts of members that are in such a pair; alignment
 runs inside the bucket, nearest first, and members that it links are one group from there on. So
@@ -418,18 +419,19 @@ def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", leas
     pairs = stored(_possible(shared.where("g1 != hub").select(F.col("hub").alias("a"), F.col("g1").alias("b")).distinct(), narrow, least), "pairs")
     roots = components(stored(_alike(pairs, texts, least), "links"))
     release(spark)
-    # Second round: buckets whose members are in several groups; one of those that have the same members.
+    # Second round: buckets whose members but the hub are in several groups; one of those that have the same members.
     named = narrow.select("g1", "n").join(roots.select(F.col("id").alias("g1"), "root"), "g1", "left").withColumn("root", F.coalesce("root", "g1"))
-    now = stored(shared.select("key", "g1", "many").join(named, "g1"), "now")
+    now = stored(shared.where("g1 != hub and many > 2").select("key", "g1", "many").join(named, "g1"), "now")
     marks = [F.bit_xor(F.xxhash64(F.lit(s), "g1")).alias(f"m{s}") for s in (0, 1)]
-    split = now.groupBy("key", "many").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), *marks).where("lo != hi")
-    split = split.groupBy("m0", "m1", "many").agg(F.min("key").alias("key")).select("key")
-    open_ = stored(now.join(split, "key").select("key", "g1", "n", "root"), "open")
+    split = now.groupBy("key", "many").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.sum("n").alias("w"), *marks).where("lo != hi")
+    split = split.groupBy("m0", "m1", "many", "w").agg(F.min("key").alias("key"))
+    parts = F.ceil(F.greatest((F.col("many") - 1) / BUCKET, F.col("w") / BUCKET_WORDS)).cast("long")
+    open_ = stored(now.drop("many").join(split.select("key", parts.alias("parts")), "key").select("key", "g1", "n", "root", "parts"), "open")
     drop(now)
     if not open_.isEmpty():
         facts = open_.groupBy("g1", "n", "root").agg(F.collect_set("key").alias("keys")).join(narrow.select("g1", "bins"), "g1")
         facts = stored(facts, "facts")
-        active = stored(_sorted(_dealt(open_.select("key", "g1", "n"), facts.drop("n"))).mapInArrow(_active(least), "key long, block long, parts long, g1 long"), "active")
+        active = stored(_sorted(_dealt(open_.select("key", "g1", "parts"), facts)).mapInArrow(_active(least), "key long, block long, parts long, g1 long"), "active")
         release(spark)
         members = active.join(facts.hint("merge"), "g1").join(texts.hint("merge"), "g1").select(*_MEMBER, "text")
         roots = _folded(roots, stored(_sorted(members).mapInArrow(_judged(least), _PAIR), "found"))
@@ -478,14 +480,11 @@ _MEMBER = ("key", "block", "parts", "n", "g1", "root", "bins", "keys")
 
 
 def _dealt(members: DataFrame, facts: DataFrame) -> DataFrame:
-    """Members (key, g1, n) by bucket, with their facts; a large bucket is cut into parts, and every two parts meet in a block of their own."""
-    sizes = members.groupBy("key").agg(F.count("*").alias("c"), F.sum("n").alias("w"))
-    large = sizes.select("key", F.ceil(F.greatest(F.col("c") / BUCKET, F.col("w") / BUCKET_WORDS)).cast("long").alias("parts")).where("parts > 1")
-    dealt = members.join(large, "key", "left").withColumn("parts", F.coalesce("parts", F.lit(1).cast("long")))
+    """Members (key, g1, parts) by bucket, with their facts; every two parts of a large bucket meet in a block of their own."""
     # The parts of members are numpy's remainders, never negative.
     mine = "pmod(g1, parts)"
     blocks = F.expr(f"transform(sequence(0L, parts - 1), j -> least(j, {mine}) * parts + greatest(j, {mine}))")
-    return dealt.withColumn("block", F.explode(blocks)).join(facts.hint("merge"), "g1").select(*_MEMBER)
+    return members.withColumn("block", F.explode(blocks)).join(facts.hint("merge"), "g1").select(*_MEMBER)
 
 
 def _sorted(members: DataFrame) -> DataFrame:

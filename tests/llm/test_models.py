@@ -326,6 +326,39 @@ def test_recall_against_all_pairs(table):
     assert all(got[i] // 4 == i // 4 for i in got)
 
 
+def test_pairs_with_the_hub_are_judged_once(spark, table, monkeypatch):
+    """A bucket's hub has met all others: buckets of two have no second round, and of those of c texts c - 1 are dealt."""
+    rng, seen, store = random.Random(5), {}, neardup.stored
+
+    def counted(df, name):
+        out = store(df, name)
+        seen[name] = out.count()
+        return out
+
+    monkeypatch.setattr(neardup, "stored", counted)
+
+    def prose(n):
+        return [f"w{rng.randrange(10**9)}" for _ in range(n)]
+
+    def groups(texts):
+        seen.clear()
+        return {r["doc_id"]: r["group_id"] for r in neardup.groups(table([(i, " ".join(x)) for i, x in enumerate(texts)])).collect()}
+
+    passages = [prose(60) for _ in range(12)]
+    # Two unlike texts of each passage.
+    assert groups([p + prose(60) for p in passages for _ in range(2)]) == {i: i for i in range(24)}
+    assert seen["shared"] > 0 and seen["open"] == 0 and "facts" not in seen
+    # Beside an unlike one two that are alike, whichever of the three is the hub.
+    texts = []
+    for p in passages:
+        one = p + prose(60)
+        texts += [p + prose(60), one, one[:-4] + prose(4)]
+    assert groups(texts) == {i: i - (i % 3 == 2) for i in range(36)}
+    # No bucket has more rows than texts but its hub.
+    assert groups([passages[0] + prose(60) for _ in range(20)]) == {i: i for i in range(20)}
+    assert 0 < seen["open"] <= neardup.SKETCHES * 19
+
+
 def test_short_near_duplicates(table):
     """Groups of short texts are those of all pairs by plain alignment."""
     rng = random.Random(6)
