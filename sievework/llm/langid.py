@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 
 from .arrays import pieces, utf8
 from .ranks import seeded, seeded_sample
-from .tables import free_names, small_batches
+from .tables import free_names, small_batches, trim
 
 ROWS_LOG2, DIMENSIONS = 16, 16
 UNDETERMINED = "und"
@@ -219,6 +219,8 @@ def identify(docs: DataFrame, learnable: Column | None = None, id_col: str = "do
     learnable = F.lit(True) if learnable is None else learnable
     grams, labels = sample(docs, learnable, id_col, text_col, label_col, train_documents)
     model = spark.sparkContext.broadcast(train(grams, labels) if labels else None)  # a fixed 2**16 rows
+    del grams, labels
+    trim()
     keep = [id_col] if keep is None else keep
     place = [c.lower() for c in keep].index(text_col.lower()) if text_col.lower() in [c.lower() for c in keep] else None
     rows = docs.select(*keep) if place is not None else docs.select(*keep, text_col)

@@ -6,9 +6,9 @@ from collections.abc import Iterable
 
 from pyspark.sql import SparkSession
 
-from ..plans.shared import drop, release, shared_dir, stored
+from ..plans.shared import drop, release, shared_dir, stored, trim
 
-__all__ = ["drop", "free_names", "release", "shared_dir", "small_batches", "stored"]
+__all__ = ["drop", "free_names", "release", "shared_dir", "small_batches", "stored", "trim"]
 
 #: Bytes of one Arrow batch handed to a Python worker: bounds a worker's memory whatever the rows' lengths.
 ARROW_BYTES = 4 << 20

@@ -13,7 +13,7 @@ def components(edges: DataFrame) -> DataFrame:
 
     Alternating large-star and small-star steps: each links neighbours straight to the least one
     seen, so long chains fold in a logarithmic number of rounds. Rounds are written tables, and
-    only two flags come to the driver.
+    only a flag comes to the driver.
     """
     now = stored(edges.select(F.least("a", "b").alias("u"), F.greatest("a", "b").alias("v")).where("u < v").distinct(), "edges")
     while True:
@@ -29,7 +29,7 @@ def components(edges: DataFrame) -> DataFrame:
         drop(now)
         now = after
         # Settled when every vertex hangs on one root that hangs on nothing.
-        loose = not now.select(F.col("u").alias("r")).distinct().join(now.select(F.col("v").alias("r")).distinct(), "r").isEmpty()
-        if not loose and now.groupBy("v").count().where("count > 1").isEmpty():
+        ends = now.select(F.col("v").alias("w"), F.lit(1).alias("up"), F.lit(0).alias("root")).unionByName(now.select(F.col("u").alias("w"), F.lit(0).alias("up"), F.lit(1).alias("root")))
+        if ends.groupBy("w").agg(F.sum("up").alias("up"), F.max("root").alias("root")).where("up > 1 or (up > 0 and root = 1)").isEmpty():
             release(now.sparkSession)
             return now.select(F.col("v").alias("id"), F.col("u").alias("root")).unionByName(now.select(F.col("u").alias("id"), F.col("u").alias("root")).distinct())

@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import ctypes
 import gc
 import re
 import time
 import uuid
+from contextlib import suppress
 
+import pyarrow as pa
+from py4j.protocol import Py4JError
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -39,11 +43,40 @@ def release(spark: SparkSession) -> None:
     Objects that Python has let go are let go in the JVM about once a second; only then does a
     collection there find what held the shuffles unused, and the next one the shuffles.
     """
-    gc.collect()
+    trim()
     time.sleep(1.2)
     spark.sparkContext._jvm.System.gc()
     time.sleep(0.5)
     spark.sparkContext._jvm.System.gc()
+    trim_native(spark)
+
+
+def trim() -> None:
+    """Give memory that Python has let go back to the machine; Arrow's pool and the C library would keep it for the driver's life."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with suppress(OSError, AttributeError):
+        ctypes.CDLL(None).malloc_trim(0)
+
+
+def trim_native(spark: SparkSession) -> bool:
+    """Let the driver's JVM give native memory that it has freed back to the machine; whether it can.
+
+    Spark starts a thread for each exchange, and the C library keeps what these have freed, more with each job.
+    """
+    jvm, gateway = spark.sparkContext._jvm, spark.sparkContext._gateway
+    try:
+        # By the interface: the server's own class is not open to reflection.
+        strings, objects, name = jvm.String, jvm.Object, jvm.javax.management.ObjectName("com.sun.management:type=DiagnosticCommand")
+        found = jvm.java.lang.Class.forName("javax.management.MBeanServer").getMethods()
+        call = next(m for m in found if m.getName() == "invoke")
+        arguments = gateway.new_array(objects, 4)
+        arguments[0], arguments[1] = name, "systemTrimNativeHeap"
+        arguments[2], arguments[3] = gateway.new_array(objects, 0), gateway.new_array(strings, 0)
+        call.invoke(jvm.java.lang.management.ManagementFactory.getPlatformMBeanServer(), arguments)
+    except (Py4JError, StopIteration):
+        return False
+    return True
 
 
 def drop(df: DataFrame) -> None:

@@ -241,3 +241,22 @@ def test_every_query_runs_small(spark):
 
     assert entry.entry(spark).count() > 0
     assert set(entry.oracle_sql()) <= set(entry.queries()) and set(catalog.QUERIES) <= set(entry.queries())
+
+
+def test_release_gives_memory_back(spark):
+    """What Python has let go leaves the driver, though later objects keep the end of its heap; and so does the JVM's native memory."""
+    import re
+    from pathlib import Path
+
+    from sievework.plans import shared
+
+    def resident():
+        return int(re.search(r"VmRSS:\s+(\d+)", Path("/proc/self/status").read_text())[1]) >> 10
+
+    held = [bytes([i % 256]) * 3000 for i in range(60_000)]
+    pins = held[::200]
+    before = resident()
+    del held
+    shared.release(spark)
+    assert len(pins) == 300 and resident() < before - 100
+    assert shared.trim_native(spark)
