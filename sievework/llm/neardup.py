@@ -421,7 +421,9 @@ def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", leas
     release(spark)
     # Second round: buckets whose members but the hub are in several groups; one of those that have the same members.
     named = narrow.select("g1", "n").join(roots.select(F.col("id").alias("g1"), "root"), "g1", "left").withColumn("root", F.coalesce("root", "g1"))
-    now = stored(shared.where("g1 != hub and many > 2").select("key", "g1", "many").join(named, "g1"), "now")
+    # What is known of a class is joined once a class and goes to its buckets from there, so no join makes a row for each of its keys.
+    held = shared.where("g1 != hub and many > 2").groupBy("g1").agg(F.collect_list(F.struct("key", "many")).alias("held"))
+    now = stored(held.join(named, "g1").select("g1", "n", "root", F.inline("held")), "now")
     marks = [F.bit_xor(F.xxhash64(F.lit(s), "g1")).alias(f"m{s}") for s in (0, 1)]
     split = now.groupBy("key", "many").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.sum("n").alias("w"), *marks).where("lo != hi")
     split = split.groupBy("m0", "m1", "many", "w").agg(F.min("key").alias("key"))
@@ -429,11 +431,12 @@ def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", leas
     open_ = stored(now.drop("many").join(split.select("key", parts.alias("parts")), "key").select("key", "g1", "n", "root", "parts"), "open")
     drop(now)
     if not open_.isEmpty():
-        facts = open_.groupBy("g1", "n", "root").agg(F.collect_set("key").alias("keys")).join(narrow.select("g1", "bins"), "g1")
-        facts = stored(facts, "facts")
-        active = stored(_sorted(_dealt(open_.select("key", "g1", "parts"), facts)).mapInArrow(_active(least), "key long, block long, parts long, g1 long"), "active")
+        facts = open_.groupBy("g1", "n", "root").agg(F.collect_set(F.struct("key", "parts")).alias("held")).join(narrow.select("g1", "bins"), "g1")
+        facts = stored(facts.withColumn("keys", F.col("held.key")), "facts")
+        active = stored(_sorted(_dealt(facts)).mapInArrow(_active(least), "key long, block long, parts long, g1 long"), "active")
         release(spark)
-        members = active.join(facts.hint("merge"), "g1").join(texts.hint("merge"), "g1").select(*_MEMBER, "text")
+        met = active.groupBy("g1").agg(F.collect_list(F.struct("key", "block", "parts")).alias("blocks"))
+        members = met.join(facts.hint("merge"), "g1").join(texts.hint("merge"), "g1").select("*", F.inline("blocks")).select(*_MEMBER, "text")
         roots = _folded(roots, stored(_sorted(members).mapInArrow(_judged(least), _PAIR), "found"))
         for used in (facts, active):
             drop(used)
@@ -479,12 +482,12 @@ def _folded(roots: DataFrame, links: DataFrame) -> DataFrame:
 _MEMBER = ("key", "block", "parts", "n", "g1", "root", "bins", "keys")
 
 
-def _dealt(members: DataFrame, facts: DataFrame) -> DataFrame:
-    """Members (key, g1, parts) by bucket, with their facts; every two parts of a large bucket meet in a block of their own."""
+def _dealt(facts: DataFrame) -> DataFrame:
+    """Classes by open bucket, with their facts; every two parts of a large bucket meet in a block of their own."""
     # The parts of members are numpy's remainders, never negative.
-    mine = "pmod(g1, parts)"
-    blocks = F.expr(f"transform(sequence(0L, parts - 1), j -> least(j, {mine}) * parts + greatest(j, {mine}))")
-    return members.withColumn("block", F.explode(blocks)).join(facts.hint("merge"), "g1").select(*_MEMBER)
+    mine = "pmod(g1, h.parts)"
+    blocks = f"transform(sequence(0L, h.parts - 1), j -> struct(h.key as key, least(j, {mine}) * h.parts + greatest(j, {mine}) as block, h.parts as parts))"
+    return facts.select("*", F.inline(F.expr(f"flatten(transform(held, h -> {blocks}))"))).select(*_MEMBER)
 
 
 def _sorted(members: DataFrame) -> DataFrame:

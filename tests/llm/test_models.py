@@ -1,6 +1,7 @@
 """Language identification, toxicity, near duplicates and the pipeline."""
 
 import random
+import re
 import zlib
 
 import numpy as np
@@ -359,6 +360,36 @@ def test_pairs_with_the_hub_are_judged_once(spark, table, monkeypatch):
     assert 0 < seen["open"] <= neardup.SKETCHES * 19
 
 
+def test_joins_on_classes_make_a_row_a_class(spark, table, monkeypatch):
+    """Texts that share many buckets: joins on the class make no row for each of its buckets."""
+    rng, store, made = random.Random(5), neardup.stored, []
+
+    def look(plan):
+        if "QueryStage" in plan.nodeName():
+            return look(plan.plan())
+        if plan.nodeName() == "AdaptiveSparkPlan":
+            return look(plan.executedPlan())
+        if re.search(r"Join.* \[g1#\d+L\], \[g1#\d+L\], Inner", plan.simpleString(100)):
+            made.append(plan.metrics().apply("numOutputRows").value())
+        for i in range(plan.children().size()):
+            look(plan.children().apply(i))
+
+    def looked(df, name):
+        run = df.select("*")
+        run.collect()
+        look(run._jdf.queryExecution().executedPlan())
+        return store(df, name)
+
+    monkeypatch.setattr(neardup, "stored", looked)
+    passage = [f"w{rng.randrange(10**9)}" for _ in range(60)]
+    texts = [passage + [f"w{rng.randrange(10**9)}" for _ in range(60)] for _ in range(20)]
+    # Two that are alike beside the unlike ones.
+    texts += [t[:-4] + ["x", "y", "z", "u"] for t in texts[-2:]]
+    got = {r["doc_id"]: r["group_id"] for r in neardup.groups(table([(i, " ".join(x)) for i, x in enumerate(texts)])).collect()}
+    assert got == {i: i if i < 20 else i - 2 for i in range(22)}
+    assert made and max(made) <= 22
+
+
 def test_short_near_duplicates(table):
     """Groups of short texts are those of all pairs by plain alignment."""
     rng = random.Random(6)
